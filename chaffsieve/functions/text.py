@@ -111,23 +111,27 @@ def looks_like_code(
     return (hits >= min_hits).cast("int")
 
 
+# One match per syllable of a letters-only, lower-case word:
+#   the first vowel group, with the consonants before it;
+#   a word without vowels;
+#   every later vowel group but a final e after a consonant other than l.
+_SYLLABLE = (
+    "(?<![a-z])[b-df-hj-np-tv-xz]*+[aeiouy]+"
+    "|(?<![a-z])[b-df-hj-np-tv-xz]++"
+    "|(?!(?<=[b-df-hjkmnp-tv-xz])e(?![a-z]))[aeiouy]+"
+)
+
+
 def syllable_count(text: Column, words: Column) -> Column:
     """Syllables of all words, each word counting at least one.
 
     Per word (letters only, lower case): the number of vowel groups, less one
     for a final consonant + e other than "le" when there is another group.
-    Taken over the whole text as vowel groups, plus words without a vowel,
-    less words with such a silent e; every pattern is linear in the text.
+    The pattern never backtracks, so this is linear in the text.
     """
 
     def total(letters: Column) -> Column:
-        groups = matches(letters, "[aeiouy]+")
-        voiced = matches(letters, "[aeiouy][a-z]*")
-        final_e = matches(letters, "[b-df-hjkmnp-tv-xz]e(?![a-z])")
-        only_e = matches(
-            letters, "(?<![a-z])[b-df-hj-np-tv-xz]*[b-df-hjkmnp-tv-xz]e(?![a-z])"
-        )
-        return groups + words - voiced - final_e + only_e
+        return matches(letters, _SYLLABLE) + words - matches(letters, "[a-z]+")
 
     return let(F.regexp_replace(F.lower(text), f"(?U)[^a-z{SPACE}]+", ""), total)
 

@@ -40,11 +40,14 @@ CLUSTER_NAMES = {
 # ---- vectors: each returns (id, features) with unit length -----------------
 
 
-def precomputed_vectors(df: DataFrame, id_col: str, array_col: str) -> DataFrame:
-    """Vectors that already exist as an array column."""
+def precomputed_vectors(
+    df: DataFrame, id_col: str, array_col: str, keep: Iterable[str] = ()
+) -> DataFrame:
+    """Vectors that already exist as an array column, with further columns on request."""
     raw = df.select(
         F.col(id_col).alias("row_id"),
         array_to_vector(F.col(array_col).cast("array<double>")).alias("raw"),
+        *keep,
     )
     return Normalizer(p=2.0, inputCol="raw", outputCol="features").transform(raw).drop("raw")
 
@@ -225,7 +228,7 @@ def relabel_clusters(df: DataFrame, names: dict[int, str]) -> DataFrame:
 def cluster_corpus(
     df: DataFrame, cfg: AuditConfig, vectors: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """(df with cluster_id and cluster_label, one-row selection record).
+    """((row_id, cluster_id, cluster_label) of every row, one-row selection record).
 
     Fits on a sample, assigns every row.  Rows without a usable vector get
     cluster -1.
@@ -235,16 +238,24 @@ def cluster_corpus(
     fit_on = stage(sample_rows(usable, cfg.fit_sample, seed=cfg.seed), "fit-sample")
     best, model, scores = sweep_k(fit_on, cfg)
 
-    assigned = stage(assign(usable, model).select("row_id", "cluster_id"), "assigned")
-    out = default_labels(
-        df.drop("cluster_id", "cluster_label")
-        .join(assigned, "row_id", "left")
-        .withColumn("cluster_id", F.coalesce("cluster_id", F.lit(UNASSIGNED)))
+    every = df.select("row_id").join(
+        assign(usable, model).select("row_id", "cluster_id"), "row_id", "left"
+    )
+    out = stage(
+        default_labels(
+            every.withColumn("cluster_id", F.coalesce("cluster_id", F.lit(UNASSIGNED)))
+        ),
+        "assigned",
     )
     lists = exemplars(df, assign(fit_on, model), centroid_table(model, df.sparkSession), cfg)
     return out, selection_record(best, scores, lists, out)
 
 
+def attach_clusters(df: DataFrame, clusters: DataFrame) -> DataFrame:
+    """Put cluster columns on rows; both sides have unique row ids."""
+    return df.drop("cluster_id", "cluster_label").join(clusters, "row_id")
+
+
 def selection_record(
     best: int, scores: DataFrame, lists: DataFrame, clustered: DataFrame
 ) -> DataFrame:

@@ -109,14 +109,13 @@ def postings(reps: DataFrame, threshold: float, cfg: AuditConfig) -> DataFrame:
 
 def _split_hot(posted: DataFrame, cfg: AuditConfig) -> tuple[DataFrame, DataFrame]:
     """Two sides to join on (sig, low, high): all pairs of blocks of each signature."""
-    counts = stage(
-        posted.groupBy("sig").agg(F.count("*").alias("n")).filter(F.col("n") > 1), "signatures"
-    )
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    # At most broadcast_rows signatures can exceed this size.
-    block = max(cfg.posting_block, total // cfg.broadcast_rows)
-    hot = counts.filter(F.col("n") > block).select(
-        "sig", F.ceil(F.col("n") / block).cast("int").alias("blocks")
+    # At most broadcast_rows signatures can be posted more often than this.
+    block = max(cfg.posting_block, posted.count() // cfg.broadcast_rows)
+    hot = (
+        posted.groupBy("sig")
+        .agg(F.count("*").alias("n"))
+        .filter(F.col("n") > block)
+        .select("sig", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
     )
     placed = (
         posted.join(F.broadcast(hot), "sig", "left")
@@ -132,7 +131,7 @@ def _split_hot(posted: DataFrame, cfg: AuditConfig) -> tuple[DataFrame, DataFram
 
 
 def similar_pairs(reps: DataFrame, threshold: float, cfg: AuditConfig) -> DataFrame:
-    """(rep_a, copies_a, rep_b, copies_b, similarity) with rep_a < rep_b; pairs may repeat."""
+    """(rep_a, copies_a, rep_b, copies_b, similarity), one order per pair; pairs may repeat."""
     posted = stage(postings(reps, threshold, cfg), "postings")
     low, high = _split_hot(posted, cfg)
     side = ["sig", "low", "high", "group_key", "rep", "copies", "vec"]
@@ -178,7 +177,7 @@ def near_duplicates(
     distinct = representatives(vecs)
 
     # Copies: every row but the first points at the first, at similarity 1.
-    repeated = stage(distinct.filter(F.col("copies") > 1), "repeated")
+    repeated = distinct.filter(F.col("copies") > 1)
     copies = (
         keyed_lookup(
             vecs.select("group_key", "vector_key", "row_id"),

@@ -171,11 +171,12 @@ def low_adequacy_rows(df: DataFrame, cfg: AuditConfig) -> DataFrame:
     return df.filter(rules.low_adequacy(cfg))
 
 
-def root_of(df: DataFrame, max_hops: int = 32) -> DataFrame:
+def root_of(df: DataFrame, cfg: AuditConfig, max_hops: int = 40) -> DataFrame:
     """(row_id, root): the unflagged row at the end of each duplicate_of chain.
 
     Pointer jumping halves the chains per pass; pointers lead to earlier rows,
-    so they end.
+    so they end.  Each pass looks up only the rows that are pointed at and
+    point on.
     """
     links = stage(
         df.filter(F.col("duplicate_of").isNotNull()).select(
@@ -184,9 +185,11 @@ def root_of(df: DataFrame, max_hops: int = 32) -> DataFrame:
         "links",
     )
     for _ in range(max_hops):
+        pointed = links.groupBy("root").agg(F.count("*").alias("n"))
         onward = links.select(F.col("row_id").alias("root"), F.col("root").alias("next"))
-        jumped = links.join(onward, "root", "left")
-        if jumped.filter(F.col("next").isNotNull()).limit(1).count() == 0:
+        table = stage(pointed.join(onward, "root"), "onward")
+        if table.count() == 0:
             return links
+        jumped = keyed_lookup(links, table, ["root"], "n", cfg, how="left")
         links = stage(jumped.select("row_id", F.coalesce("next", "root").alias("root")), "links")
     raise RuntimeError(f"duplicate chains longer than 2**{max_hops}")

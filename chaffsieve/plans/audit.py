@@ -84,10 +84,12 @@ def audit(
 
     selection = None
     if cluster:
-        df, selection = _cluster.cluster_corpus(df, cfg, vectors)
+        clusters, selection = _cluster.cluster_corpus(df, cfg, vectors)
         if names is not None:
-            df = _cluster.relabel_clusters(df, names)
-        df = sinks.write_enriched(df, out, "clustered")
+            clusters = _cluster.relabel_clusters(clusters, names)
+        # Saved narrow; the texts are joined and written once, with the flags.
+        clusters = sinks.write_enriched(clusters, out, "clusters")
+        df = _cluster.attach_clusters(df, clusters)
         sinks.write_json(selection, f"{out}/cluster_selection")
 
     df = sinks.write_enriched(flag(df, cfg), out, "flagged")

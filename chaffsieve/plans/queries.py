@@ -114,8 +114,8 @@ def _report(spark: SparkSession, base: str) -> DataFrame:
 
 def _points(spark: SparkSession, base: str) -> DataFrame:
     table = spark.read.parquet(f"{base}/embeddings.parquet")
-    return km.precomputed_vectors(table, "vec_id", "embedding").join(
-        table.select(F.col("vec_id").alias("row_id"), F.col("label").alias("cluster_id")), "row_id"
+    return km.precomputed_vectors(
+        table.withColumnRenamed("label", "cluster_id"), "vec_id", "embedding", ["cluster_id"]
     )
 
 
@@ -249,7 +249,7 @@ QUERIES: dict[str, Query] = {
     "cluster_sizes": lambda s, d: ql.cluster_sizes(fact(s, d)),
     "flagged_per_cluster": lambda s, d: ql.flagged_per_cluster(fact(s, d)),
     "length_quartile": _quartile,
-    "duplicate_roots": lambda s, d: ql.root_of(fact(s, d)),
+    "duplicate_roots": lambda s, d: ql.root_of(fact(s, d), CFG),
     "review_sample": _review,
     "sample_rows": lambda s, d: sample_rows(enriched(s, d).select("row_id"), 200, seed=CFG.seed),
     "audit_report": _report,

@@ -106,9 +106,9 @@ def _csv(df: DataFrame, path: str) -> None:
 
 
 def write_sample_csv(df: DataFrame, path: str, cfg: AuditConfig) -> None:
-    """The first rows by row_id: dense ids make that a filter."""
+    """The first rows by row_id: dense ids make that a filter, run by all tasks."""
     head = df.filter(F.col("row_id") <= cfg.sample_csv_rows)
-    _csv(head.coalesce(1).sortWithinPartitions("row_id"), path)
+    _csv(head.repartition(1).sortWithinPartitions("row_id"), path)
 
 
 def write_review_csv(review: DataFrame, path: str) -> None:
