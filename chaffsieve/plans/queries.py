@@ -142,6 +142,8 @@ def _exemplars(spark: SparkSession, base: str) -> DataFrame:
     texts = corpus.corpus_from_documents(spark, base).select(
         F.col("order_key").alias("row_id"), "instruction"
     )
+    # At small scales there are more vectors than documents.
+    members = members.join(texts.select("row_id"), "row_id", "left_semi")
     lists = km.exemplars(texts, members, centroids.drop("n"), CFG)
     return lists.select(
         "cluster_id", F.posexplode("exemplars").alias("position", "exemplar")

@@ -501,7 +501,7 @@ def oracle_sql() -> dict[str, str]:
         + f"""SELECT cluster_id, position, left(split_part(text, chr(10), 1),
                 {CFG.exemplar_chars}) AS exemplar
             FROM (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY gap, row_id)
-                      AS position FROM nearest) JOIN documents ON doc_id = row_id
+                      AS position FROM nearest JOIN documents ON doc_id = row_id)
             WHERE position <= {CFG.exemplars}""",
     }
     return sql
