@@ -130,6 +130,9 @@ LEVEL_CASE = (
     + " ELSE 'extremely complex' END"
 )
 
+# The following words of an n-gram; NULL where the text ends first.
+GRAM_REST = " ".join(f"|| ' ' || lead(w, {k}) OVER r" for k in range(1, CFG.repeat_ngram_n))
+
 FEATURES = f"""
 counted AS MATERIALIZED (
     SELECT *,
@@ -156,14 +159,16 @@ scored AS MATERIALIZED (
             round_even(206.835::DOUBLE - 1.015::DOUBLE * (output_word_count / sentence_count)
                        - 84.6::DOUBLE * (syl / output_word_count), 2) END AS flesch_score
     FROM counted JOIN syllables USING (row_id)),
-grams AS (
-    SELECT row_id, unnest(list_transform(range(1, len(t) - {CFG.repeat_ngram_n} + 2),
-        lambda i: array_to_string(t[i:i + {CFG.repeat_ngram_n - 1}], ' '))) AS gram
+spoken AS (
+    SELECT row_id, unnest(t) AS w, generate_subscripts(t, 1) AS i
     FROM (SELECT row_id, {words_of("lower(output)")} AS t FROM counted)
     WHERE len(t) >= {CFG.repeat_ngram_n * CFG.repeat_ngram_min_count}),
+grams AS (
+    SELECT row_id, w {GRAM_REST} AS gram FROM spoken
+    WINDOW r AS (PARTITION BY row_id ORDER BY i)),
 repetitive AS MATERIALIZED (
     SELECT DISTINCT row_id FROM (
-        SELECT row_id FROM grams GROUP BY row_id, gram
+        SELECT row_id FROM grams WHERE gram IS NOT NULL GROUP BY row_id, gram
         HAVING count(*) >= {CFG.repeat_ngram_min_count})),
 featured AS MATERIALIZED (
     SELECT *, {LEVEL_CASE} AS readability_level,
