@@ -77,3 +77,4 @@ class AuditConfig:
     signature_stop: int = 64
     signature_depth: int = 4
     posting_block: int = 4_096
+    inline_terms: int = 64

@@ -13,9 +13,11 @@ How pairs are found without comparing all rows of a group:
    terms.  A tuple grows until its expected number of rows is small; which
    tuples grow depends on the tuple alone, so both sides agree.  A tuple that
    may be all the pair shares is closed with an end mark.
-3. Rows meeting in a signature are compared in the join and only the best
-   partner per row leaves the task.  A signature posted very often is split
-   into blocks that meet pairwise in different tasks.
+3. Rows meeting in a signature are compared in the join, and of the pairs over
+   the threshold only the best partner per row leaves the task.  Postings carry
+   the vector for that; a row of unusually many terms would post a large vector
+   many times, so its pairs fetch vectors by row id instead.  A signature
+   posted very often is split into blocks that meet pairwise in different tasks.
 
 Nothing is sampled, capped or approximated.
 """
@@ -92,18 +94,24 @@ def _next_terms(budget: float, stop: int) -> Column:
     )
 
 
+def _vector() -> Column:
+    return F.map_from_arrays("ranks", "weights")
+
+
 def postings(reps: DataFrame, threshold: float, cfg: AuditConfig) -> DataFrame:
-    """(sig, group_key, rep, copies, vec): where each representative looks for partners."""
+    """(sig, group_key, rep, copies, long, vec): where each representative looks for partners."""
     budget = 1.0 - threshold * threshold + _SLACK
     out = reps.withColumn("s", F.explode(_first_terms(budget)))
     for _ in range(cfg.signature_depth - 1):
         out = out.withColumn("s", F.explode(_next_terms(budget, cfg.signature_stop)))
+    long = F.size("ranks") > cfg.inline_terms
     return out.select(
         F.col("s.sig").alias("sig"),
         "group_key",
         "rep",
         "copies",
-        F.map_from_arrays("ranks", "weights").alias("vec"),
+        long.alias("long"),
+        F.when(~long, _vector()).alias("vec"),
     )
 
 
@@ -130,22 +138,45 @@ def _split_hot(posted: DataFrame, cfg: AuditConfig) -> tuple[DataFrame, DataFram
     )
 
 
+def _meet(low: DataFrame, high: DataFrame, carried: list[str]) -> DataFrame:
+    """Pairs of different rows of a group that share a signature."""
+    keys = ["sig", "low", "high"]
+    carried = ["group_key", "rep", "copies", *carried]
+    a = low.select(*keys, *[F.col(c).alias(f"{c}_a") for c in carried])
+    b = high.select(*keys, *[F.col(c).alias(f"{c}_b") for c in carried])
+    return a.join(b, keys).filter(
+        (F.col("group_key_a") == F.col("group_key_b"))
+        # Within one block each pair shows up in both orders, across blocks in one.
+        & ((F.col("rep_a") < F.col("rep_b")) | (F.col("low") < F.col("high")))
+    )
+
+
 def similar_pairs(reps: DataFrame, threshold: float, cfg: AuditConfig) -> DataFrame:
     """(rep_a, copies_a, rep_b, copies_b, similarity), one order per pair; pairs may repeat."""
     posted = stage(postings(reps, threshold, cfg), "postings")
     low, high = _split_hot(posted, cfg)
-    side = ["sig", "low", "high", "group_key", "rep", "copies", "vec"]
-    a = low.select(*side[:3], *[F.col(c).alias(f"{c}_a") for c in side[3:]])
-    b = high.select(*side[:3], *[F.col(c).alias(f"{c}_b") for c in side[3:]])
-    met = a.join(b, ["sig", "low", "high"]).filter(
-        (F.col("group_key_a") == F.col("group_key_b"))
-        # Within one block each pair shows up in both orders, across blocks in one.
-        & ((F.col("rep_a") < F.col("rep_b")) | (F.col("low") < F.col("high")))
+    ids = ["rep_a", "copies_a", "rep_b", "copies_b"]
+
+    def over_threshold(met: DataFrame) -> DataFrame:
+        compared = met.withColumn("similarity", cosine(F.col("vec_a"), F.col("vec_b")))
+        return compared.filter(F.col("similarity") >= threshold).select(*ids, "similarity")
+
+    short = ~F.col("long")
+    pairs = over_threshold(_meet(low.filter(short), high.filter(short), ["vec"]))
+    if posted.filter("long").limit(1).count() == 0:
+        return pairs
+
+    met = (
+        _meet(low.filter("long"), high, [])
+        .unionByName(_meet(low.filter(short), high.filter("long"), []))
+        .select(*ids)
+        .distinct()
     )
-    compared = met.withColumn("similarity", cosine(F.col("vec_a"), F.col("vec_b")))
-    return compared.filter(F.col("similarity") >= threshold).select(
-        "rep_a", "copies_a", "rep_b", "copies_b", "similarity"
+    vec = reps.select("rep", _vector().alias("vec"))
+    fetched = met.join(vec.withColumnsRenamed({"rep": "rep_a", "vec": "vec_a"}), "rep_a").join(
+        vec.withColumnsRenamed({"rep": "rep_b", "vec": "vec_b"}), "rep_b"
     )
+    return pairs.unionByName(over_threshold(fetched))
 
 
 def representatives(vecs: DataFrame) -> DataFrame:

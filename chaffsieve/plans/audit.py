@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -59,6 +60,7 @@ class AuditResult:
     review: DataFrame | None = None
     view_status: dict[str, str] = field(default_factory=dict)
     loaded: int | None = None
+    problems: list[str] = field(default_factory=list)
 
 
 def audit(
@@ -67,16 +69,20 @@ def audit(
     cfg: AuditConfig,
     limit: int | None = None,
     cluster: bool = True,
-    vectors: DataFrame | None = None,
+    vectors: DataFrame | Callable[[DataFrame], DataFrame] | None = None,
     names: dict[int, str] | None = None,
-    table: str | None = None,
+    load: Callable[[DataFrame], int] | None = None,
     views: bool = True,
 ) -> AuditResult:
     """All stages, each saved under ``out``, then load and exports.
 
-    ``vectors`` (row_id, features) replaces the hashed text vectors;
-    ``table`` loads the fact table into the session's catalog.
+    ``vectors`` replaces the hashed text vectors: a frame (row_id, features)
+    or a function of the enriched frame that makes one.  If its model is not
+    installed, rows are grouped by rule class instead.  ``load`` writes the
+    fact table somewhere and returns its row count; a failing load is
+    reported and the exports still run.
     """
+    problems: list[str] = []
     if limit is not None:
         raw = limit_rows(raw, limit)
     df = sinks.write_enriched(enrich(raw, cfg), out, "enriched")
@@ -84,13 +90,18 @@ def audit(
 
     selection = None
     if cluster:
-        clusters, selection = _cluster.cluster_corpus(df, cfg, vectors)
-        if names is not None:
-            clusters = _cluster.relabel_clusters(clusters, names)
-        # Saved narrow; the texts are joined and written once, with the flags.
-        clusters = sinks.write_enriched(clusters, out, "clusters")
-        df = _cluster.attach_clusters(df, clusters)
-        sinks.write_json(selection, f"{out}/cluster_selection")
+        try:
+            given = vectors(df) if callable(vectors) else vectors
+            clusters, selection = _cluster.cluster_corpus(df, cfg, given)
+        except ImportError as error:
+            problems.append(f"clustering skipped: {error}")
+        else:
+            if names is not None:
+                clusters = _cluster.relabel_clusters(clusters, names)
+            # Saved narrow; the texts are joined and written once, with the flags.
+            clusters = sinks.write_enriched(clusters, out, "clusters")
+            df = _cluster.attach_clusters(df, clusters)
+            sinks.write_json(selection, f"{out}/cluster_selection")
 
     df = sinks.write_enriched(flag(df, cfg), out, "flagged")
     report = _quality.audit_report(df, cfg)
@@ -100,10 +111,12 @@ def audit(
     sinks.write_sample_csv(df, f"{out}/enriched_sample", cfg)
 
     fact = sinks.select_fact(with_cluster_columns(df))
-    result = AuditResult(fact, report, baseline, selection, review)
-    if table is not None:
-        result.loaded = sinks.load_fact_table(fact, table)
-        result.fact = fact.sparkSession.table(table)
+    result = AuditResult(fact, report, baseline, selection, review, problems=problems)
+    if load is not None:
+        try:
+            result.loaded = load(fact)
+        except Exception as error:
+            problems.append(f"load failed: {error}")
     if views:
-        result.view_status = sinks.export_views(result.fact, VIEWS, f"{out}/views", cfg)
+        result.view_status = sinks.export_views(fact, VIEWS, f"{out}/views", cfg)
     return result

@@ -47,7 +47,7 @@ def test_load_corpus(spark, corpus, tmp_path):
 
 def test_audit_end_to_end(spark, corpus, tmp_path):
     out = str(tmp_path / "audit")
-    result = audit(corpus, out, CFG, table="fact_full")
+    result = audit(corpus, out, CFG, load=lambda f: sinks.load_fact_table(f, "fact_full"))
     assert result.loaded == 120 and result.fact.columns == list(FACT_COLUMNS)
     assert set(result.view_status.values()) == {"ok"} and len(result.view_status) == 9
     report = result.report.first()
@@ -68,12 +68,25 @@ def test_audit_end_to_end(spark, corpus, tmp_path):
 
 
 def test_audit_without_clustering_groups_by_rule(spark, corpus, tmp_path):
-    result = audit(corpus, str(tmp_path), CFG, limit=50, cluster=False, table="fact_rules", views=False)
+    result = audit(corpus, str(tmp_path), CFG, limit=50, cluster=False, views=False)
     rows = result.fact.collect()
     assert len(rows) == 50 and {r["cluster_id"] for r in rows} == {None}
     assert result.report.first()["cluster_sizes"] == {}
 
 
+def test_missing_model_and_failing_load_are_reported(spark, corpus, tmp_path):
+    def no_model(df):
+        raise ImportError("no encoder installed")
+
+    def no_table(fact):
+        raise RuntimeError("no such table")
+
+    result = audit(corpus, str(tmp_path), CFG, vectors=no_model, load=no_table, views=False)
+    assert result.selection is None and result.loaded is None
+    assert [p.split(":")[0] for p in result.problems] == ["clustering skipped", "load failed"]
+    assert result.fact.count() == 120
+
+
 def test_audit_with_given_vectors_and_names(spark, corpus, tmp_path):
     vectors = precomputed_vectors(
         spark.range(1, 121).select(
