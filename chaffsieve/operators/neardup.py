@@ -119,12 +119,16 @@ def _split_hot(posted: DataFrame, cfg: AuditConfig) -> tuple[DataFrame, DataFram
     """Two sides to join on (sig, low, high): all pairs of blocks of each signature."""
     # At most broadcast_rows signatures can be posted more often than this.
     block = max(cfg.posting_block, posted.count() // cfg.broadcast_rows)
-    hot = (
+    hot = stage(
         posted.groupBy("sig")
         .agg(F.count("*").alias("n"))
         .filter(F.col("n") > block)
-        .select("sig", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+        .select("sig", F.ceil(F.col("n") / block).cast("int").alias("blocks")),
+        "hot-signatures",
     )
+    if hot.limit(1).count() == 0:
+        whole = posted.withColumns({"low": F.lit(0), "high": F.lit(0)})
+        return whole, whole
     placed = (
         posted.join(F.broadcast(hot), "sig", "left")
         .withColumn("blocks", F.coalesce("blocks", F.lit(1)))
