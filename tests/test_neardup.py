@@ -77,7 +77,6 @@ VARIANTS = {
     "default": CFG,
     "all levels": replace(CFG, signature_stop=0),
     "two levels": replace(CFG, signature_stop=2, signature_depth=2),
-    "one level": replace(CFG, signature_depth=1),
     "split postings": replace(CFG, posting_block=3, signature_depth=1),
     "split, deep": replace(CFG, posting_block=2, signature_stop=1),
     "no broadcasts": replace(CFG, broadcast_rows=40, hot_rows=20, posting_block=5),
