@@ -14,13 +14,20 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_LOCAL = "chaffsieve.scratch"
+
+
 def scratch_root(spark: SparkSession) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    """Where this application stages: below the cluster's checkpoint folder.
+
+    Only a local master may go without one; it gets a temporary folder, once.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_LOCAL, None)
     if not base:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="chaffsieve-")
-        spark.conf.set("chaffsieve.scratch", base)
+        spark.conf.set(_LOCAL, base)
     return f"{base.rstrip('/')}/chaffsieve/{spark.conf.get('spark.app.id', 'session')}"
 
 
