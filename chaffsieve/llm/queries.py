@@ -4,10 +4,54 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chaffsieve.llm import exact_dedup
+from chaffsieve.llm import exact_dedup, mixing
 from chaffsieve.llm.tables import table
 
 
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mix of sources weighing 5, 2, 1 in turn takes of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.mix(docs).select("row.doc_id", "size", "source_size", "target", "taken")
+
+
+OP2_SQL = r"""
+WITH sized AS (
+    SELECT doc_id, source,
+           len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+           ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS key
+    FROM documents
+), totals AS (
+    SELECT source, sum(size)::BIGINT AS source_size,
+           [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight
+    FROM sized GROUP BY source
+), leveled AS (
+    SELECT *, 3 * source_size / weight AS ratio,
+           (sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER (
+               ORDER BY 3 * source_size / weight, source NULLS LAST
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
+           / (sum(weight) OVER (ORDER BY 3 * source_size / weight, source NULLS LAST
+               ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS level
+    FROM totals
+), targets AS (
+    SELECT source, source_size,
+           coalesce(least((3 * source_size)::DOUBLE,
+               max(CASE WHEN level < ratio THEN level END) OVER () * weight),
+               (3 * source_size)::DOUBLE) AS target
+    FROM leveled
+), queued AS (
+    SELECT doc_id, size, source_size, target, floor(target + 0.5)::BIGINT AS goal,
+           coalesce(sum(size) OVER (PARTITION BY sized.source ORDER BY key, doc_id, size
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
+    FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source
+)
+SELECT doc_id, size, source_size, target,
+       (greatest(0, least(size, goal - before))
+        + greatest(0, least(size, goal - before - source_size))
+        + greatest(0, least(size, goal - before - 2 * source_size)))::BIGINT AS taken
+FROM queued
+"""
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of identical texts; the row with the largest doc_id stays."""
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
@@ -23,5 +67,11 @@ FROM documents
 WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
-QUERIES = {"op9_exact_dedup": op9_exact_dedup}
-ORACLE_SQL = {"op9_exact_dedup": OP9_SQL}
+QUERIES = {
+    "op2_mix_sources": op2_mix_sources,
+    "op9_exact_dedup": op9_exact_dedup,
+}
+ORACLE_SQL = {
+    "op2_mix_sources": OP2_SQL,
+    "op9_exact_dedup": OP9_SQL,
+}
