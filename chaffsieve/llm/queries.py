@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from chaffsieve.llm import exact_dedup, mixing
+from chaffsieve.llm import exact_dedup, mixing, packing
 from chaffsieve.llm.tables import table
 
 
@@ -52,6 +53,13 @@ FROM queued
 """
 
 
+def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut and packed into sequences of 2,048 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents")).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of identical texts; the row with the largest doc_id stays."""
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
@@ -69,6 +77,7 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 
 QUERIES = {
     "op2_mix_sources": op2_mix_sources,
+    "op8_pack": op8_pack,
     "op9_exact_dedup": op9_exact_dedup,
 }
 ORACLE_SQL = {
