@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chaffsieve.llm import exact_dedup, mixing, packing
+from chaffsieve.llm import exact_dedup, mixing, near_dedup, packing
 from chaffsieve.llm.tables import table
 
 
@@ -75,12 +75,54 @@ FROM documents
 WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents linked by 85 % of their three-word shingles."""
+    return near_dedup.near_groups(table(spark, sf_dir, "documents"), near_dedup.Sketch(3, 85))
+
+
+OP10_SQL = r"""
+WITH RECURSIVE worded AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), shingled AS (
+    SELECT DISTINCT doc_id, shingle FROM (
+        SELECT doc_id, unnest(CASE
+            WHEN len(w) = 0 THEN []
+            WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+            ELSE list_transform(range(1, len(w) - 1),
+                lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS shingle
+        FROM worded)
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingled GROUP BY doc_id
+), met AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both
+    FROM shingled a JOIN shingled b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    GROUP BY x, y
+), links AS (
+    SELECT x, y FROM met JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
+    WHERE 100 * both >= 85 * (a.n + b.n - both)
+), reached AS (
+    SELECT DISTINCT x AS doc_id, x AS node FROM links
+    UNION
+    SELECT reached.doc_id, links.y FROM reached JOIN links ON links.x = reached.node
+), smallest AS (
+    SELECT doc_id, min(node) AS least FROM reached GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(least, doc_id) AS component_id,
+       doc_id = coalesce(least, doc_id) AS kept
+FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN smallest USING (doc_id)
+"""
+
 QUERIES = {
     "op2_mix_sources": op2_mix_sources,
     "op8_pack": op8_pack,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_near_dedup": op10_near_dedup,
 }
 ORACLE_SQL = {
     "op2_mix_sources": OP2_SQL,
     "op9_exact_dedup": OP9_SQL,
+    "op10_near_dedup": OP10_SQL,
 }
