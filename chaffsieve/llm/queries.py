@@ -97,12 +97,12 @@ WITH RECURSIVE worded AS (
 ), sizes AS (
     SELECT doc_id, count(*) AS n FROM shingled GROUP BY doc_id
 ), met AS (
-    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common
     FROM shingled a JOIN shingled b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
     GROUP BY x, y
 ), links AS (
     SELECT x, y FROM met JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
-    WHERE 100 * both >= 85 * (a.n + b.n - both)
+    WHERE 100 * common >= 85 * (a.n + b.n - common)
 ), reached AS (
     SELECT DISTINCT x AS doc_id, x AS node FROM links
     UNION
