@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chaffsieve.llm import exact_dedup, mixing, near_dedup, packing
-from chaffsieve.llm.tables import table
+from chaffsieve.llm import exact_dedup, language, mixing, near_dedup, packing
+from chaffsieve.llm.tables import remainder, table
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,6 +53,14 @@ FROM queued
 """
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned outside the held-out third."""
+    docs = table(spark, sf_dir, "documents")
+    judged = language.detect(docs, language.fit(docs))
+    held_out = F.coalesce(remainder("doc_id", 3) == 1, F.lit(False))
+    return judged.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document cut and packed into sequences of 2,048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents")).select(
@@ -117,6 +125,7 @@ FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN smallest USING (doc_id)
 
 QUERIES = {
     "op2_mix_sources": op2_mix_sources,
+    "op5_language": op5_language,
     "op8_pack": op8_pack,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_near_dedup": op10_near_dedup,
