@@ -5,9 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chaffsieve.llm import exact_dedup, language, mixing, near_dedup, packing
+from chaffsieve.llm import exact_dedup, language, mixing, near_dedup, packing, quality
 from chaffsieve.llm.tables import remainder, table
 
+# A document is predicted good from this score on.
+QUALITY_CUT = 0.3
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned outside the held-out fifth."""
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id",
+        F.coalesce(remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= QUALITY_CUT).cast("int").alias("predicted"),
+    )
+
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a mix of sources weighing 5, 2, 1 in turn takes of every document."""
@@ -124,6 +139,7 @@ FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN smallest USING (doc_id)
 """
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op2_mix_sources": op2_mix_sources,
     "op5_language": op5_language,
     "op8_pack": op8_pack,
