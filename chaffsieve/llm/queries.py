@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chaffsieve.llm import exact_dedup, language, mixing, near_dedup, packing, quality
+from chaffsieve.llm import exact_dedup, language, mixing, near_dedup, packing, pii, quality
 from chaffsieve.llm.tables import remainder, table
 
 # A document is predicted good from this score on.
@@ -68,6 +68,11 @@ FROM queued
 """
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: base spans and those the classifier adds."""
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned outside the held-out third."""
     docs = table(spark, sf_dir, "documents")
@@ -141,6 +146,7 @@ FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN smallest USING (doc_id)
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_mix_sources": op2_mix_sources,
+    "op3_personal_data": op3_personal_data,
     "op5_language": op5_language,
     "op8_pack": op8_pack,
     "op9_exact_dedup": op9_exact_dedup,
