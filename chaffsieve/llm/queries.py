@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chaffsieve.llm import exact_dedup, language, mixing, near_dedup, packing, pii, quality
+from chaffsieve.llm import exact_dedup, language, link_graph, mixing, near_dedup, packing, pii, quality
 from chaffsieve.llm.tables import remainder, table
 
 # A document is predicted good from this score on.
@@ -73,6 +73,20 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
 
 
+URL_RULES = [
+    link_graph.Rule("org", "/", "allow"),
+    link_graph.Rule("example.org", "/es/", "block"),
+    link_graph.Rule("example.org", "/en/1", "block"),
+    link_graph.Rule("com", "/fr/", "allow"),
+    link_graph.Rule("com", "/de/", "block"),
+]
+
+
+def op4_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page by URL rules and, where none fits, the host graph."""
+    return link_graph.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned outside the held-out third."""
     docs = table(spark, sf_dir, "documents")
@@ -147,6 +161,7 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op2_mix_sources": op2_mix_sources,
     "op3_personal_data": op3_personal_data,
+    "op4_link_graph": op4_link_graph,
     "op5_language": op5_language,
     "op8_pack": op8_pack,
     "op9_exact_dedup": op9_exact_dedup,
