@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chaffsieve.llm import chat, exact_dedup, language, link_graph, mixing, near_dedup, packing, pii, quality
+from chaffsieve.llm import chat, exact_dedup, hnsw, language, link_graph, mixing, near_dedup, packing, pii, quality
 from chaffsieve.llm.tables import remainder, table
 
 # A document is predicted good from this score on.
@@ -107,6 +107,11 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(turns.unionByName(hostile)))
 
 
+def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest others of every twentieth vector."""
+    return hnsw.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document cut and packed into sequences of 2,048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents")).select(
@@ -176,6 +181,7 @@ QUERIES = {
     "op4_link_graph": op4_link_graph,
     "op5_language": op5_language,
     "op6_chat_format": op6_chat_format,
+    "op7_nearest": op7_nearest,
     "op8_pack": op8_pack,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_near_dedup": op10_near_dedup,
