@@ -13,12 +13,15 @@ about their Jaccard similarity.
    the fullest buckets.  Pairs are estimated from all registers jointly, by
    likelihood with the known set sizes; if the threshold is out of question
    the pair goes, else it is confirmed on the full sets.
-4. Confirmed links give components.  Buckets that still hold several
-   components have their pairs between components estimated inside tasks, in
-   blocks, and what may reach the threshold is confirmed too.
+4. Confirmed links give components.  Where a bucket still holds several,
+   members are compared by their registers inside tasks, in blocks, and
+   components that may be linked make a family; only a spanning forest of
+   likely pairs leaves a task.
+5. Within a family the full sets of different components are compared inside
+   tasks, again in blocks, and a spanning forest of true links leaves them.
 
 So no link between different sets that share a bucket is lost unless it joins
-what is joined already, and pairs are never all written out.
+what is joined already, and what is written grows with documents, not pairs.
 """
 
 from __future__ import annotations
@@ -44,7 +47,7 @@ RATE = 20.0
 LIMIT = 2**16 - 2
 # A pair goes if the threshold is less likely than the best similarity by e**-12, near 5 sigma.
 DOUBT = 12.0
-# Rows of a bucket compared at once within a task.
+# Members of a bucket or family compared at once within a task.
 LEFT_BLOCK, RIGHT_BLOCK = 512, 2048
 
 
@@ -109,25 +112,23 @@ def likely(
 
     With u and v the shares of the sizes, a register of a is above that of b
     with probability p(u - v * j), below with p(v - u * j), where
-    p(x) = -log_b(1 - x * (b - 1) / b).  The likelihood of the threshold is
-    compared with the largest one over a grid of similarities.
+    p(x) = -log_b(1 - x * (b - 1) / b).  The largest likelihood from the
+    threshold on is compared with the largest of all, on a grid.
     """
-    u = n_a / (n_a + n_b)
+    u = (n_a / (n_a + n_b))[:, None]
     v = 1 - u
     top = np.minimum(u / v, v / u)
+    counts = [c[:, None] for c in (above, below, equal)]
+    # The last column is the threshold itself.
+    grid = np.append(np.linspace(0, 1, 33) * top, np.minimum(threshold, top), axis=1)
     p = lambda x: np.maximum(-np.log1p(-x * (BASE - 1) / BASE) / log(BASE), 1e-12)
-
-    def value(j):
-        more, less = p(u - v * j), p(v - u * j)
-        same = np.maximum(1 - more - less, 1e-12)
-        return above * np.log(more) + below * np.log(less) + equal * np.log(same)
-
-    best = np.full(len(equal), -np.inf)
-    for share in np.linspace(0, 1, 65):
-        best = np.maximum(best, value(top * share))
+    more, less = p(u - v * grid), p(v - u * grid)
+    chances = more, less, np.maximum(1 - more - less, 1e-12)
+    value = sum(c * np.log(x) for c, x in zip(counts, chances))
     # Set sizes alone can rule the threshold out; that test is exact.
-    possible = top >= threshold - 1e-9
-    return possible & (value(np.minimum(threshold, top)) >= best - DOUBT)
+    possible = top[:, 0] >= threshold - 1e-9
+    reached = np.where(grid >= grid[:, -1:], value, -np.inf).max(axis=1)
+    return possible & (reached >= value.max(axis=1) - DOUBT)
 
 
 def _sets(batch: pa.RecordBatch, size: int) -> Iterator[np.ndarray]:
@@ -210,10 +211,8 @@ def _estimate(pairs: DataFrame, known: DataFrame, plan: Sketch) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a bigint, b bigint")
 
 
-def _confirm(docs: DataFrame, pairs: DataFrame, plan: Sketch) -> DataFrame:
-    """The (a, b) of staged ``pairs`` whose full sets reach the threshold."""
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    ids = stage(ids, "ids-to-confirm")
+def _full_sets(docs: DataFrame, ids: DataFrame, plan: Sketch) -> DataFrame:
+    """(id, members), staged: the shingles of the documents among the staged ``ids``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -223,7 +222,13 @@ def _confirm(docs: DataFrame, pairs: DataFrame, plan: Sketch) -> DataFrame:
             )
 
     found = meet(_texts(docs), ids, ["id"], "left_semi")
-    found = stage(found.mapInArrow(run, "id bigint, members array<bigint>"), "full-sets")
+    return stage(found.mapInArrow(run, "id bigint, members array<bigint>"), "full-sets")
+
+
+def _confirm(docs: DataFrame, pairs: DataFrame, plan: Sketch) -> DataFrame:
+    """The (a, b) of staged ``pairs`` whose full sets reach the threshold."""
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    found = _full_sets(docs, stage(ids, "ids-to-confirm"), plan)
     one = found.select(F.col("id").alias("a"), F.col("members").alias("set_a"))
     two = found.select(F.col("id").alias("b"), F.col("members").alias("set_b"))
     both = F.size(F.array_intersect("set_a", "set_b")).alias("both")
@@ -234,89 +239,174 @@ def _confirm(docs: DataFrame, pairs: DataFrame, plan: Sketch) -> DataFrame:
     return sizes.filter(reached).select("a", "b").distinct()
 
 
-def _between_components(members: DataFrame, known: DataFrame, plan: Sketch) -> DataFrame:
-    """Likely pairs of members (key, id, component, centre's component) in different components.
+class _Forest:
+    """Disjoint sets of component numbers within one task."""
+
+    def __init__(self, parts: np.ndarray):
+        names, self.of = np.unique(parts, return_inverse=True)
+        self.root = np.arange(len(names))
+
+    def sets(self) -> np.ndarray:
+        """The set of each member."""
+        return self.root[self.of]
+
+    def merge(self, a: int, b: int) -> None:
+        """Join the sets of the members a and b."""
+        x, y = self.root[self.of[a]], self.root[self.of[b]]
+        self.root[self.root == y] = x
+
+
+def _dealt(members: DataFrame, group: str, payload: DataFrame) -> DataFrame:
+    """Members (group, id, component, main) with their payload, in units (group, block, other).
 
-    Every member outside the component of its bucket's centre is compared with
-    all other members of the bucket.  A bucket is dealt out in units of
-    LEFT_BLOCK outsiders and RIGHT_BLOCK members, so that no task holds more
-    registers than that; only likely pairs leave a task.
+    In a unit LEFT_BLOCK members outside the main component of their group
+    meet RIGHT_BLOCK members of any.  A group in one component has no unit.
+    Rows come sorted by unit.
     """
     outside = F.col("component") != F.col("main")
-    sizes = members.groupBy("key").agg(
+    sizes = members.groupBy(group).agg(
         F.count(F.when(outside, 1)).alias("n_out"), F.count("*").alias("n_all")
     )
-    sizes = stage(sizes.filter("n_out > 0"), "mixed-buckets")
+    sizes = stage(sizes.filter("n_out > 0"), "mixed-groups")
     lefts, rights = F.ceil(F.col("n_out") / LEFT_BLOCK), F.ceil(F.col("n_all") / RIGHT_BLOCK)
-    rows = meet(members, sizes, ["key"]).select(
-        "*",
+    rows = meet(members, sizes, [group]).select(
+        F.col(group).alias("group"),
+        "id",
+        "component",
         outside.alias("outside"),
         lefts.alias("lefts"),
         rights.alias("rights"),
         F.pmod(F.xxhash64("id"), lefts).alias("at_left"),
-        F.pmod(F.xxhash64("id", "key"), rights).alias("at_right"),
+        F.pmod(F.xxhash64("id", group), rights).alias("at_right"),
     )
     zero = F.lit(0).cast("bigint")
     as_left = rows.filter("outside").select(
-        "key", "id", "component", F.lit(True).alias("is_left"),
+        "group", "id", "component", F.lit(True).alias("is_left"),
         F.col("at_left").alias("block"), F.explode(F.sequence(zero, F.col("rights") - 1)).alias("other"),
     )
     as_right = rows.select(
-        "key", "id", "component", F.lit(False).alias("is_left"),
+        "group", "id", "component", F.lit(False).alias("is_left"),
         F.explode(F.sequence(zero, F.col("lefts") - 1)).alias("block"), F.col("at_right").alias("other"),
     )
-    unit = ["key", "block", "other"]
-    dealt = (
-        as_left.union(as_right)
-        .join(known.select("id", "n", "regs"), "id")
-        .repartition(*unit)
-        .sortWithinPartitions(*unit)
-    )
-    threshold = plan.percent / 100
+    unit = ["group", "block", "other"]
+    spark = members.sparkSession
+    tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # A given number of partitions: units are work, which their bytes don't show.
+    return as_left.union(as_right).join(payload, "id").repartition(tasks, *unit).sortWithinPartitions(*unit)
 
-    def compare(rows: list[tuple]) -> list[tuple[int, int]]:
-        left = [r for r in rows if r[2]]
-        right = [r for r in rows if not r[2]]
-        if not left or not right:
-            return []
-        regs = np.frombuffer(b"".join(r[4] for r in right), np.uint16).reshape(len(right), -1)
-        ids = np.array([r[0] for r in right], np.int64)
-        parts = np.array([r[1] for r in right], np.int64)
-        n = np.array([r[3] for r in right], float)
-        found = []
-        for doc, part, _, size, raw in left:
-            mine = np.frombuffer(raw, np.uint16)
-            other = np.flatnonzero(parts != part)
-            if not len(other):
-                continue
-            equal = (regs[other] == mine).sum(axis=1)
-            above = (regs[other] < mine).sum(axis=1)
-            keep = likely(
-                equal, above, len(mine) - equal - above, np.full(len(other), float(size)), n[other], threshold
-            )
-            found += [(min(doc, x), max(doc, x)) for x in ids[other[keep]].tolist()]
-        return found
+
+def _per_unit(dealt: DataFrame, payload: list[str], compare) -> DataFrame:
+    """Pairs (a, b) that ``compare`` finds in each unit of ``dealt``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, rows = None, []
 
         def out():
-            pairs = compare(rows)
+            left, right = [r for r in rows if r[2]], [r for r in rows if not r[2]]
+            pairs = compare(left, right) if left and right else []
             if pairs:
                 a, b = zip(*pairs)
                 yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-        names = ["id", "component", "is_left", "n", "regs"]
         for batch in batches:
-            units = zip(*(batch.column(c).to_pylist() for c in unit))
-            for here, row in zip(units, zip(*(batch.column(c).to_pylist() for c in names))):
+            unit = zip(*(batch.column(c).to_pylist() for c in ("group", "block", "other")))
+            plain = [batch.column(c).to_pylist() for c in ("id", "component", "is_left")]
+            kept = [_values(batch.column(c)) for c in payload]
+            for here, row in zip(unit, zip(*plain, *kept)):
                 if here != last:
                     yield from out()
                     last, rows = here, []
                 rows.append(row)
         yield from out()
 
-    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
+    return dealt.mapInArrow(run, "a bigint, b bigint")
+
+
+def _values(column: pa.Array) -> list:
+    """Lists as numpy arrays of their own, anything else as Python values."""
+    if not pa.types.is_list(column.type):
+        return column.to_pylist()
+    offsets = column.offsets.to_numpy()
+    flat = column.values.to_numpy(zero_copy_only=False)
+    return [flat[a:b].copy() for a, b in zip(offsets[:-1], offsets[1:])]
+
+
+def _likely_bridges(members: DataFrame, known: DataFrame, plan: Sketch) -> DataFrame:
+    """Pairs that tie components of a bucket together as far as registers make a link likely.
+
+    Pairs of one set are skipped and a likely pair joins its sets, so a unit
+    gives fewer pairs than it has components.
+    """
+    threshold = plan.percent / 100
+    # Far fewer equal registers than this are never likely; it spares the arithmetic.
+    least = int(plan.registers * threshold / 2)
+
+    def compare(left: list[tuple], right: list[tuple]) -> list[tuple[int, int]]:
+        rows = right + left
+        regs = np.frombuffer(b"".join(r[4] for r in right), np.uint16).reshape(len(right), -1)
+        sizes = np.array([r[3] for r in right], float)
+        forest = _Forest(np.array([r[1] for r in rows], np.int64))
+        found = []
+        for i, (doc, _, _, size, raw) in enumerate(left, len(right)):
+            sets = forest.sets()
+            other = np.flatnonzero(sets[: len(right)] != sets[i])
+            mine = np.frombuffer(raw, np.uint16)
+            equal = (regs[other] == mine).sum(axis=1)
+            other, equal = other[equal >= least], equal[equal >= least]
+            if not len(other):
+                continue
+            above = (regs[other] < mine).sum(axis=1)
+            keep = likely(
+                equal, above, len(mine) - equal - above, np.full(len(other), float(size)), sizes[other], threshold
+            )
+            for j in other[keep].tolist():
+                if forest.sets()[i] != forest.sets()[j]:
+                    forest.merge(i, j)
+                    found.append((doc, rows[j][0]))
+        return found
+
+    return _per_unit(_dealt(members, "key", known), ["n", "regs"], compare).distinct()
+
+
+def _links_between(docs: DataFrame, members: DataFrame, plan: Sketch) -> DataFrame:
+    """Links between components of a family, confirmed on the full sets within the task.
+
+    One look through an index of the unit's shingles counts what a member
+    shares with all others.  Links within a set already joined are not needed.
+    """
+    ids = stage(members.select("id").distinct(), "family-ids")
+    sets = _full_sets(docs, ids, plan)
+
+    def compare(left: list[tuple], right: list[tuple]) -> list[tuple[int, int]]:
+        rows = right + left
+        sizes = np.array([len(r[3]) for r in right], np.int64)
+        owner = np.repeat(np.arange(len(right)), sizes)
+        every = np.concatenate([r[3] for r in right])
+        order = np.argsort(every, kind="stable")
+        names, first = np.unique(every[order], return_index=True)
+        first, owner = np.append(first, len(every)), owner[order]
+        forest = _Forest(np.array([r[1] for r in rows], np.int64))
+        found = []
+        for i, (doc, _, _, mine) in enumerate(left, len(right)):
+            at = np.minimum(np.searchsorted(names, mine), len(names) - 1)
+            at = at[names[at] == mine]
+            begin, count = first[at], first[at + 1] - first[at]
+            step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            both = np.bincount(owner[np.repeat(begin, count) + step], minlength=len(right))
+            link = both * 100 >= (len(mine) + sizes - both) * plan.percent
+            for j in np.flatnonzero(link).tolist():
+                if forest.sets()[i] != forest.sets()[j]:
+                    forest.merge(i, j)
+                    found.append((doc, rows[j][0]))
+        return found
+
+    return _per_unit(_dealt(members, "family", sets), ["members"], compare).distinct()
+
+
+def _named(rows: DataFrame, roots: DataFrame, node: str, name: str) -> DataFrame:
+    """``rows`` with the component of their ``node``: itself if ``roots`` don't have it."""
+    found = meet(rows, roots.select(F.col("node").alias(node), F.col("component").alias("__root")), [node], "left")
+    return found.withColumn(name, F.coalesce("__root", node)).drop("__root")
 
 
 def near_groups(docs: DataFrame, plan: Sketch = Sketch()) -> DataFrame:
@@ -361,19 +451,22 @@ def near_groups(docs: DataFrame, plan: Sketch = Sketch()) -> DataFrame:
     links = stage(_confirm(docs, tested, plan), "confirmed")
     joined = stage(components(links), "first-components")
 
-    # What still lies apart within a bucket.
-    up = joined.withColumnsRenamed({"node": "id"})
-    apart = meet(starred, up, ["id"], "left").withColumn("component", F.coalesce("component", "id"))
-    up = joined.withColumnsRenamed({"node": "centre", "component": "main"})
-    apart = meet(apart, up, ["centre"], "left").select(
-        "key", "id", "component", F.coalesce("main", "centre").alias("main")
-    )
-    more = _between_components(stage(apart, "apart"), known, plan)
-    either = tested.union(tested.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    more = stage(more.join(either, ["a", "b"], "left_anti"), "likely-apart")
-    if more.take(1):
-        more = stage(_confirm(docs, more, plan), "confirmed-apart")
-        joined = stage(components(links.union(more)), "components")
+    # Components that share a bucket and may be linked make a family.
+    apart = stage(_named(_named(starred, joined, "id", "component"), joined, "centre", "main"), "apart")
+    bridges = stage(_likely_bridges(apart, known, plan), "bridges")
+    if bridges.take(1):
+        over = stage(components(links.union(bridges)), "families")
+        # Whoever a bridge touches, and all of its component, may hold the link.
+        touched = bridges.select(F.col("a").alias("id")).union(bridges.select("b"))
+        touched = _named(touched.distinct(), over, "id", "family").select("family").distinct()
+        family = _named(_named(known.select("id").distinct(), joined, "id", "component"), over, "id", "family")
+        family = meet(family, stage(touched, "open-families"), ["family"], "left_semi")
+        family = stage(family, "family-members")
+        largest = family.groupBy("family", "component").agg(F.count("*").alias("size"))
+        main = F.max(F.struct("size", "component")).alias("top")
+        largest = stage(largest.groupBy("family").agg(main).select("family", F.col("top.component").alias("main")), "mains")
+        more = _links_between(docs, meet(family, largest, ["family"]), plan)
+        joined = stage(components(links.union(stage(more, "links-between"))), "components")
 
     rep = F.coalesce("rep", "id")
     answer = meet(marks.select("id", "n", "d1", "d2"), classes, ["d1", "d2", "n"], "left")
