@@ -24,6 +24,8 @@ Nothing is sampled, capped or approximated.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -70,8 +72,9 @@ def _next_terms(budget: float, stop: int) -> Column:
     def skipped(i: Column) -> Column:
         return s["skipped"] + F.get(F.col("before"), i) - passed
 
+    after = F.when(s["at"] + 1 < size, F.sequence(s["at"] + 1, size - 1))
     later = F.filter(
-        F.sequence(F.lit(0), size - 1), lambda i: (i > s["at"]) & (skipped(i) <= budget)
+        F.coalesce(after, F.array().cast("array<int>")), lambda i: skipped(i) <= budget
     )
     grown = F.transform(
         later,
@@ -183,6 +186,26 @@ def similar_pairs(reps: DataFrame, threshold: float, cfg: AuditConfig) -> DataFr
     return pairs.unionByName(over_threshold(fetched))
 
 
+# Above any row id; similarities count in units of their last digit.
+_ID_SPAN = Decimal(10) ** 19
+
+
+def _ranked() -> Column:
+    """(similarity, smaller ``other`` first) as one number, which a hash aggregate can keep."""
+    units = F.round(F.col("similarity") * 10**_SIMILARITY_DIGITS).cast("decimal(11,0)")
+    span = F.lit(_ID_SPAN).cast("decimal(20,0)")
+    return units * span + (span - F.col("other").cast("decimal(20,0)"))
+
+
+def _unranked(best: Column) -> tuple[Column, Column]:
+    """(other, similarity) of ``_ranked``; what is left of a unit is the id's complement."""
+    span = F.lit(_ID_SPAN).cast("decimal(20,0)")
+    rest = best % span
+    other = F.when(rest == 0, span - span).otherwise(span - rest).cast("bigint")
+    units = ((best - rest) / span).cast("double") - F.when(rest == 0, 1).otherwise(0)
+    return other, units / 10**_SIMILARITY_DIGITS
+
+
 def representatives(vecs: DataFrame) -> DataFrame:
     """One row per distinct vector: the earliest row that has it, and how many do."""
     distinct = vecs.groupBy("group_key", "vector_key").agg(
@@ -211,20 +234,6 @@ def near_duplicates(
     vecs = vectors(df, group or group_key(df), cfg)
     distinct = representatives(vecs)
 
-    # Copies: every row but the first points at the first, at similarity 1.
-    repeated = distinct.filter(F.col("copies") > 1)
-    copies = (
-        keyed_lookup(
-            vecs.select("group_key", "vector_key", "row_id"),
-            repeated,
-            ["group_key", "vector_key"],
-            "copies",
-            cfg,
-        )
-        .filter(F.col("row_id") != F.col("rep"))
-        .select("row_id", F.col("rep").alias("duplicate_of"), F.lit(1.0).alias("similarity"))
-    )
-
     reps = vecs.drop("vector_key", "group_key").join(
         distinct.select("group_key", F.col("rep").alias("row_id"), "copies"), "row_id"
     ).withColumnRenamed("row_id", "rep")
@@ -246,20 +255,40 @@ def near_duplicates(
         ),
     )
     directed = pairs.select("similarity", F.inline(ends))
-    if rule == "nearest":
-        # The nearest row of a repeated vector's first row is one of its copies.
-        directed = directed.filter(F.col("copies") == 1)
-    else:
+    if rule == "any_earlier":
         directed = directed.filter(F.col("other") < F.col("row_id"))
-    best = directed.groupBy("row_id").agg(
-        F.max(F.struct("similarity", (-F.col("other")).alias("earliest"))).alias("best")
-    )
-    others = best.select(
-        "row_id",
-        (-F.col("best.earliest")).alias("duplicate_of"),
-        F.col("best.similarity").alias("similarity"),
+    best = directed.groupBy("row_id", "copies").agg(F.max(_ranked()).alias("best"))
+    partner, similarity = _unranked(F.col("best"))
+    best = stage(
+        best.select("row_id", "copies", partner.alias("duplicate_of"), similarity.alias("similarity")),
+        "best-partners",
     ).filter(F.col("duplicate_of") < F.col("row_id"))
-    return copies.unionByName(others)
+
+    # The first row of a repeated vector: its nearest row is a later copy, unless
+    # an earlier row is as near as a copy.
+    first = best if rule == "any_earlier" else best.filter("copies = 1 OR similarity >= 1.0")
+
+    # The other copies point at the first, or at what is as near and earlier still.
+    as_near = best.filter("similarity >= 1.0").select(
+        F.col("row_id").alias("rep"), F.col("duplicate_of").alias("sooner")
+    )
+    repeated = stage(
+        distinct.filter(F.col("copies") > 1).join(as_near, "rep", "left"), "repeated-vectors"
+    )
+    rest = keyed_lookup(
+        vecs.select("group_key", "vector_key", "row_id"),
+        repeated,
+        ["group_key", "vector_key"],
+        "copies",
+        cfg,
+    ).filter(F.col("row_id") != F.col("rep"))
+    return first.drop("copies").unionByName(
+        rest.select(
+            "row_id",
+            F.coalesce("sooner", "rep").alias("duplicate_of"),
+            F.lit(1.0).alias("similarity"),
+        )
+    )
 
 
 def flag_near_duplicates(df: DataFrame, cfg: AuditConfig, **options) -> DataFrame:

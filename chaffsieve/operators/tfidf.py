@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from chaffsieve.config import AuditConfig
 from chaffsieve.functions.text import let
 from chaffsieve.operators.lookup import keyed_lookup, top_k_per_group
+from chaffsieve.operators.order import value_ladder
 from chaffsieve.sources.staging import stage
 
 
@@ -54,12 +55,48 @@ def explode_terms(df: DataFrame, group: str, cfg: AuditConfig) -> DataFrame:
     return df.select(F.col(group).alias("group_key"), "row_id", F.inline(terms))
 
 
+def _most_frequent(counted: DataFrame, k: int, cfg: AuditConfig) -> DataFrame:
+    """The ``k`` terms of each group with the highest total_tf, ties by term.
+
+    How often each total occurs settles at which total a group is cut, so
+    terms are dropped where they lie; only those at the cut are ranked.
+    """
+    counted = stage(counted, "term-counts")
+    negative = counted.withColumn("__down", -F.col("total_tf"))
+    ladder = value_ladder(negative, ["group_key"], ["__down"])
+    cut = ladder.filter((F.col("n_before") < k) & (F.col("n_before") + F.col("n") >= k)).select(
+        "group_key", (-F.col("__down")).alias("cut"), (k - F.col("n_before")).alias("room")
+    )
+    # One row per group.
+    marked = counted.join(F.broadcast(cut), "group_key", "left")
+    above = marked.filter(F.col("cut").isNull() | (F.col("total_tf") > F.col("cut")))
+    tied = top_k_per_group(
+        marked.filter(F.col("total_tf") == F.col("cut")), ["group_key"], [F.asc("term")], "term", k, cfg
+    ).filter(F.col("position") <= F.col("room"))
+    return above.select(*counted.columns).unionByName(tied.select(*counted.columns))
+
+
+def _proportions(cells: str):
+    """Term counts over their greatest common divisor: equal for parallel vectors."""
+    counts = F.col(f"{cells}.tf")
+    least = F.array_min(counts).cast("int")
+    divisors = F.filter(
+        F.sequence(least, F.lit(1), F.lit(-1)), lambda d: F.forall(counts, lambda c: c % d == 0)
+    )
+    return let(
+        F.get(divisors, 0),
+        lambda d: F.transform(
+            cells, lambda c: F.concat_ws(":", c["term_rank"], (c["tf"] / d).cast("bigint"))
+        ),
+    )
+
+
 def vocabulary(df: DataFrame, terms: DataFrame, group: str, cfg: AuditConfig) -> DataFrame:
     """(group_key, term, term_rank, df, idf, n_rows), staged.
 
     Terms in ``min_df`` rows or more, the ``max_features`` most frequent ones
-    per group, ranked rarest first.  idf = ln((1 + n) / (1 + df)) + 1 over all
-    rows of the group, with or without terms.
+    per group (all if that is None), ranked rarest first.  idf = ln((1 + n) /
+    (1 + df)) + 1 over all rows of the group, with or without terms.
     """
     sizes = df.groupBy(F.col(group).alias("group_key")).agg(F.count("*").alias("n_rows"))
     counted = (
@@ -67,10 +104,7 @@ def vocabulary(df: DataFrame, terms: DataFrame, group: str, cfg: AuditConfig) ->
         .agg(F.count("*").alias("df"), F.sum("tf").alias("total_tf"))
         .filter(F.col("df") >= cfg.min_df)
     )
-    top = top_k_per_group(
-        counted, ["group_key"], [F.desc("total_tf"), F.asc("term")], "term", cfg.max_features, cfg
-    )
-    # At most max_features terms per group are ranked.
+    top = counted if cfg.max_features is None else _most_frequent(counted, cfg.max_features, cfg)
     rarest_first = Window.partitionBy("group_key").orderBy("df", "term")
     ranked = top.select(
         "group_key", "term", "df", F.row_number().over(rarest_first).alias("term_rank")
@@ -117,8 +151,8 @@ def weighted_terms(df: DataFrame, group: str, cfg: AuditConfig) -> DataFrame:
 def vectors(df: DataFrame, group: str, cfg: AuditConfig) -> DataFrame:
     """One staged row per non-empty vector, arrays ordered rarest term first.
 
-    ``vector_key`` is a digest of the (term, tf) list: rows of a group with
-    equal keys have equal vectors.
+    ``vector_key`` is a digest of the terms and their relative counts: rows of
+    a group have equal keys just if their unit vectors are equal.
     """
     cell = F.struct("term_rank", "tf", "df", "weight", "mass_before")
     packed = (
@@ -130,9 +164,7 @@ def vectors(df: DataFrame, group: str, cfg: AuditConfig) -> DataFrame:
             F.sort_array(F.collect_list(cell)).alias("cells"),
         )
     )
-    spelled = F.array_join(
-        F.transform("cells", lambda c: F.concat_ws(":", c["term_rank"], c["tf"])), " "
-    )
+    spelled = F.array_join(_proportions("cells"), " ")
     return stage(
         packed.select(
             "group_key",

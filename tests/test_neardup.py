@@ -83,9 +83,31 @@ VARIANTS = {
     "all rows long": replace(CFG, inline_terms=0),
     "some rows long": replace(CFG, inline_terms=9, posting_block=4, signature_stop=2),
     "small vocabulary": replace(CFG, max_features=25, topk_salts=3),
+    "whole vocabulary": replace(CFG, max_features=None),
 }
 
 
+@pytest.mark.parametrize("rule", ["nearest", "any_earlier"])
+def test_parallel_vectors_are_copies(spark, rule):
+    one = replace(CFG, max_features=1)
+    rows = [(1, 0, "alpha"), (2, 0, "alpha alpha"), (3, 0, "alpha alpha"), (4, 0, "alpha alpha")]
+    schema = "row_id bigint, cluster_id int, instruction_clean string"
+    got = near_duplicates(spark.createDataFrame(rows, schema), one, rule=rule).collect()
+    assert {(r["row_id"], r["duplicate_of"]) for r in got} == {(2, 1), (3, 1), (4, 1)}
+    # Few terms, often repeated: proportional counts all over.
+    rng = random.Random(5)
+    words = ["red", "blue", "green", "grey"]
+    rows = [
+        (i, i % 2, " ".join(w for w in words for _ in range(rng.choice([0, 0, 1, 2, 4]))))
+        for i in range(1, 200)
+    ]
+    for k in (2, 4, 9):
+        cfg = replace(CFG, max_features=k, topk_salts=2)
+        got = near_duplicates(spark.createDataFrame(rows, schema), cfg, rule=rule).collect()
+        want = brute_force(rows, cfg, cfg.duplicate_threshold, rule)
+        assert {r["row_id"]: r["duplicate_of"] for r in got} == {i: v[0] for i, v in want.items()}
+
+
 @pytest.mark.parametrize("name", VARIANTS)
 def test_nearest_matches_brute_force(spark, name):
     cfg = VARIANTS[name]
