@@ -30,6 +30,16 @@ def cleaning_counts(raw: DataFrame) -> DataFrame:
     )
 
 
+def check_keys(df: DataFrame, key: str) -> None:
+    """Refuse NULL and repeated keys: a join on them would lose or multiply rows."""
+    seen = df.agg(
+        F.count("*").alias("rows"), F.count(key).alias("set"), F.count_distinct(key).alias("distinct")
+    ).first()
+    empty, repeated = seen["rows"] - seen["set"], seen["set"] - seen["distinct"]
+    if empty or repeated:
+        raise ValueError(f"{key} must be unique: {empty} rows without one, {repeated} rows repeat one")
+
+
 def index_rows(cleaned: DataFrame) -> DataFrame:
     """(order_key, row_id, is_exact_duplicate) for every cleaned row.
 
@@ -47,6 +57,7 @@ def index_rows(cleaned: DataFrame) -> DataFrame:
     # Staged narrow, so that the texts are read once and the range sampling
     # below looks at keys only.
     pairs = stage(cleaned.select("order_key", F.unhex(pair).alias("pair")), "pairs")
+    check_keys(pairs, "order_key")
     firsts = (
         pairs.groupBy("pair")
         .agg(F.min("order_key").alias("order_key"))

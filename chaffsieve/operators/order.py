@@ -46,6 +46,14 @@ def dense_positions(df: DataFrame, order: list[str], name: str) -> DataFrame:
     )
 
 
+def nth_row(df: DataFrame, order: list[str], n: int):
+    """The n-th row (from 1) of ``df`` by ``order``, which must be unique; None beyond the end.
+
+    The rows are range-partitioned, so no task ever holds n of them.
+    """
+    return dense_positions(df.select(*order), order, "__nth").filter(F.col("__nth") == n).first()
+
+
 def value_ladder(df: DataFrame, groups: list[str], values: list[str]) -> DataFrame:
     """(groups, values, n, n_before, n_total): how many rows lie below each value."""
     counts = df.groupBy(*groups, *values).agg(F.count("*").alias("n"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from chaffsieve.config import AuditConfig
 from chaffsieve.functions import rules
+from chaffsieve.operators.order import nth_row
 from chaffsieve.schema import QUALITY_FLAGS
 
 # Hex digits of the digest that stand for a number in [0, 1).
@@ -22,8 +23,9 @@ def draw(row_id: str, seed: int) -> Column:
 def sample_rows(df: DataFrame, n: int, row_id: str = "row_id", seed: int = 42) -> DataFrame:
     """Exactly min(n, rows) rows, uniformly and without replacement.
 
-    The n smallest digests win.  Only rows under a cut-off that n rows stay
-    below with overwhelming probability are sorted; if fewer do, all are.
+    The n smallest digests win.  Only digests are sorted, those under a cut-off
+    that n rows stay below with overwhelming probability (if fewer do, all);
+    rows are then filtered where they lie, so the sample keeps its partitions.
     """
     rows = df.count()
     if rows <= n:
@@ -35,7 +37,11 @@ def sample_rows(df: DataFrame, n: int, row_id: str = "row_id", seed: int = 42) -
         fewer = ordered.filter(F.col("__draw") < cut)
         if fewer.count() >= n:
             ordered = fewer
-    return ordered.orderBy("__draw", row_id).limit(n).drop("__draw")
+    last = nth_row(ordered, ["__draw", row_id], n)
+    drawn, at = F.col("__draw"), F.lit(last["__draw"])
+    return ordered.filter(
+        (drawn < at) | ((drawn == at) & (F.col(row_id) <= F.lit(last[row_id])))
+    ).drop("__draw")
 
 
 def review_sample(df: DataFrame, cfg: AuditConfig) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chaffsieve.operators.order import nth_row
 from chaffsieve.schema import RAW
 
 # Leading phrase given to a document's first line, by its length
@@ -16,6 +17,11 @@ PREFIX_VERBS = (
 LANGUAGE_CLUSTERS = {"de": 0, "en": 1, "es": 2, "fr": 3}
 CONVERSATION_CLUSTER = 4
 PAGE_CLUSTER = 5
+CLUSTER_NAMES = {
+    0: "german", 1: "english", 2: "spanish", 3: "french", 4: "conversation", 5: "page",
+}
+# Turns a conversation can have before its keys would meet those of the next.
+TURN_SPAN = 1 << 32
 
 
 def load_corpus(
@@ -24,18 +30,19 @@ def load_corpus(
     """A parquet corpus at any path Spark can read.
 
     ``order_key`` names a unique column that stands for file order, which
-    Spark does not define.  Columns missing from the files read as NULL.
+    Spark does not define; it keeps its type, whatever can be ordered will do.
+    Columns missing from the files read as NULL.
     """
     present = set(spark.read.parquet(path).columns)
     if order_key not in present:
         raise KeyError(f"corpus has no order column {order_key!r}; columns: {sorted(present)}")
+    texts = [f for f in RAW.fields if f.name != "order_key"]
     raw = spark.read.parquet(path).select(
+        F.col(order_key).alias("order_key"),
         *[
-            F.col(order_key if f.name == "order_key" else f.name).cast(f.dataType).alias(f.name)
-            if (f.name in present or f.name == "order_key")
-            else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in RAW.fields
-        ]
+            (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in texts
+        ],
     )
     return raw if limit is None else limit_rows(raw, limit)
 
@@ -43,13 +50,15 @@ def load_corpus(
 def limit_rows(df: DataFrame, n: int, order_key: str = "order_key") -> DataFrame:
     """The first ``n`` rows in key order.
 
-    Only keys are sorted; the rows themselves are filtered where they lie by
-    the n-th key, which is a single value.
+    Only keys are sorted, range by range; the rows themselves are filtered
+    where they lie by the n-th key, which is a single value.  NULL keys are
+    no rows of an order and are left out.
     """
     if n <= 0:
         return df.limit(0)
-    last = df.select(order_key).orderBy(order_key).limit(n).agg(F.max(order_key)).first()[0]
-    return df.limit(0) if last is None else df.filter(F.col(order_key) <= F.lit(last))
+    keyed = df.filter(F.col(order_key).isNotNull())
+    last = nth_row(keyed, [order_key], n)
+    return keyed if last is None else keyed.filter(F.col(order_key) <= F.lit(last[order_key]))
 
 
 def _table(spark: SparkSession, base: str, name: str) -> DataFrame:
@@ -79,6 +88,14 @@ def corpus_from_documents(spark: SparkSession, base: str, prefixed: bool = False
     )
 
 
+def _turn_key() -> Column:
+    """One number per (conversation, turn), in their order."""
+    turn = F.col("turn")
+    fits = turn.between(0, TURN_SPAN - 1)
+    wrong = F.raise_error(F.concat(F.lit("turn out of range: "), turn.cast("string")))
+    return F.when(fits, F.col("conv_id") * TURN_SPAN + turn).otherwise(wrong.cast("bigint"))
+
+
 def corpus_from_conversations(spark: SparkSession, base: str) -> DataFrame:
     """User turn -> instruction, the assistant turn after it -> output, system -> input."""
     turns = _table(spark, base, "conversations")
@@ -95,7 +112,7 @@ def corpus_from_conversations(spark: SparkSession, base: str) -> DataFrame:
         ask.join(reply, ["conv_id", "turn"])
         .join(system, "conv_id", "left")
         .select(
-            (F.col("conv_id") * 1000 + F.col("turn")).alias("order_key"),
+            _turn_key().alias("order_key"),
             "instruction",
             F.coalesce("input", F.lit("")).alias("input"),
             "output",
