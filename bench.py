@@ -14,6 +14,7 @@ import time
 from pyspark.sql import SparkSession
 
 from chaffsieve.operators import quality as ql
+from chaffsieve.operators.cluster import cluster_corpus
 from chaffsieve.operators.neardup import near_duplicates
 from chaffsieve.plans import queries as q
 from chaffsieve.plans.audit import enrich
@@ -58,6 +59,8 @@ def main() -> None:
     timed("readability_outliers", lambda: ql.flag_readability_outliers(enriched, q.CFG))
     timed("assign_clusters", lambda: q.QUERIES["assign_clusters"](spark, base))
     timed("fit_kmeans", lambda: q.QUERIES["fit_kmeans"](spark, base))
+    timed("sweep_k", lambda: q.QUERIES["sweep_k"](spark, base))
+    timed("cluster_corpus", lambda: cluster_corpus(enriched, q.CFG)[0])
 
     release(spark)
     print(

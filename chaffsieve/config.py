@@ -39,17 +39,22 @@ class AuditConfig:
     k_min: int = 5
     k_max: int = 12
     seed: int = 42
-    restarts: int = 2
-    kmeans_max_iter: int = 20
-    fit_sample: int = 15_000
+    restarts: int = 10
+    kmeans_max_iter: int = 300
+    # Rows a fit may use; None fits on all.  Only ever set it on purpose.
+    fit_sample: int | None = None
+    # Fits of a sweep that run at a time.
+    fit_threads: int = 4
     embed_batch: int = 64
-    embed_dims: int = 256
+    # Buckets of hashed words.  Different words may share one; more buckets, fewer do.
+    embed_dims: int = 1 << 16
     exemplars: int = 10
     exemplar_chars: int = 110
 
     # near duplicates
     duplicate_threshold: float = 0.90
-    max_features: int = 20_000
+    # Terms kept per group; None keeps all.
+    max_features: int | None = 20_000
     min_df: int = 2
     stop_words: tuple[str, ...] = ENGLISH_STOP_WORDS
 
@@ -69,6 +74,7 @@ class AuditConfig:
     review_rows: int = 20
     sample_csv_rows: int = 500
     load_batch: int = 1_000
+    load_connections: int = 8
 
     # sizing limits: plans change beyond them, results do not
     broadcast_rows: int = 500_000

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
@@ -24,17 +25,10 @@ from chaffsieve.sources.staging import stage
 
 UNASSIGNED = -1
 
-# Default names of the clusters.
-CLUSTER_NAMES = {
-    0: "Creative Writing",
-    1: "Code & Technical",
-    2: "Factual Explanation",
-    3: "Math & Reasoning",
-    4: "Text Editing & Summarization",
-    5: "Roleplay & Conversation",
-    6: "Classification & Extraction",
-    7: "General Knowledge QA",
-}
+UNASSIGNED_LABEL = "unassigned"
+
+# Numbers a task holds while it compares vectors with centroids, some 8 MB.
+_BLOCK = 1 << 20
 
 
 # ---- vectors: each returns (id, features) with unit length -----------------
@@ -67,7 +61,8 @@ def model_vectors(
 def hashed_vectors(df: DataFrame, cfg: AuditConfig) -> DataFrame:
     """Without a model: hashed TF-IDF of the cleaned instruction.
 
-    Texts without words give zero vectors; they stay unassigned.
+    Words that share a bucket of ``embed_dims`` count as one.  Texts without
+    words give zero vectors; they stay unassigned.
     """
     words = df.select(
         "row_id", F.filter(F.split("instruction_clean", " "), lambda w: w != "").alias("words")
@@ -83,19 +78,38 @@ def hashed_vectors(df: DataFrame, cfg: AuditConfig) -> DataFrame:
 
 
 def _nonzero() -> Column:
-    return F.aggregate(vector_to_array("features"), F.lit(0.0), lambda s, x: s + x * x) > 0
+    return F.exists(F.unwrap_udt("features")["values"], lambda x: x != 0)
 
 
 # ---- fits ------------------------------------------------------------------
 
 
 def fit_kmeans(points: DataFrame, k: int, cfg: AuditConfig) -> KMeansModel:
-    """The cheapest of ``restarts`` fits."""
-    fits = [
-        KMeans(k=k, seed=cfg.seed + r, maxIter=cfg.kmeans_max_iter).fit(points)
-        for r in range(cfg.restarts)
-    ]
-    return min(fits, key=lambda m: m.summary.trainingCost)
+    """The cheapest of ``restarts`` fits, each run until it converges."""
+    return _cheapest(_fit_all(points, [k], cfg))[k]
+
+
+def _fit_all(
+    points: DataFrame, ks: Iterable[int], cfg: AuditConfig
+) -> list[tuple[int, KMeansModel]]:
+    """All restarts for all ``ks``, a few at a time so that small steps overlap."""
+
+    def fit(job: tuple[int, int]) -> tuple[int, KMeansModel]:
+        k, restart = job
+        return k, KMeans(k=k, seed=cfg.seed + restart, maxIter=cfg.kmeans_max_iter).fit(points)
+
+    jobs = [(k, r) for k in ks for r in range(cfg.restarts)]
+    with ThreadPoolExecutor(cfg.fit_threads) as pool:
+        return list(pool.map(fit, jobs))
+
+
+def _cheapest(fits: list[tuple[int, KMeansModel]]) -> dict[int, KMeansModel]:
+    """The fit of least cost per k; the earlier restart wins ties."""
+    best: dict[int, KMeansModel] = {}
+    for k, model in fits:
+        if k not in best or model.summary.trainingCost < best[k].summary.trainingCost:
+            best[k] = model
+    return best
 
 
 def silhouette(assigned: DataFrame, cluster: str = "cluster_id") -> float:
@@ -109,10 +123,10 @@ def sweep_k(
     points: DataFrame, cfg: AuditConfig, ks: Iterable[int] | None = None
 ) -> tuple[int, KMeansModel, DataFrame]:
     """(best k, its model, frame of (k, silhouette)); the smaller k wins ties."""
-    scores, models = {}, {}
-    for k in ks or range(cfg.k_min, cfg.k_max + 1):
-        models[k] = fit_kmeans(points, k, cfg)
-        scores[k] = silhouette(assign(points, models[k]))
+    models = _cheapest(_fit_all(points, list(ks or range(cfg.k_min, cfg.k_max + 1)), cfg))
+    with ThreadPoolExecutor(cfg.fit_threads) as pool:
+        found = pool.map(lambda k: (k, silhouette(assign(points, models[k]))), models)
+        scores = dict(found)
     best = max(sorted(scores), key=scores.get)
     frame = points.sparkSession.createDataFrame(
         sorted(scores.items()), "k int, silhouette double"
@@ -142,31 +156,58 @@ def centroid_table(model: KMeansModel, spark) -> DataFrame:
     return spark.createDataFrame(rows, "cluster_id int, centroid array<double>")
 
 
-def assign_to_centroids(points: DataFrame, centroids: DataFrame, cfg: AuditConfig) -> DataFrame:
-    """(row_id, cluster_id, distance) of the nearest of at most ``k_max`` centroids.
+def assign_to_centroids(points: DataFrame, centroids: DataFrame) -> DataFrame:
+    """(row_id, cluster_id, distance) of the nearest centroid, however many there are.
 
-    The centroids travel to the tasks as one small matrix; ties go to the
-    smallest cluster id.
+    The centroids travel to the tasks as one matrix; vectors are compared in
+    blocks of a fixed size.  Ties go to the smallest cluster id.
     """
-    rows = centroids.orderBy("cluster_id").limit(cfg.k_max + 1).collect()
-    if len(rows) > cfg.k_max:
-        raise ValueError(f"more than {cfg.k_max} centroids")
+    rows = centroids.orderBy("cluster_id").collect()
     ids = np.array([r["cluster_id"] for r in rows], dtype=np.int32)
     centers = np.array([r["centroid"] for r in rows], dtype=np.float64)
 
     @F.pandas_udf("cluster_id int, distance double")
     def nearest(vectors: pd.Series) -> pd.DataFrame:
         x = np.stack(vectors.to_numpy()).astype(np.float64)
-        gaps = ((x[:, None, :] - centers[None, :, :]) ** 2).sum(axis=2)
-        best = gaps.argmin(axis=1)
-        return pd.DataFrame(
-            {"cluster_id": ids[best], "distance": np.sqrt(gaps[np.arange(len(x)), best])}
-        )
+        best, gap = np.zeros(len(x), np.int64), np.full(len(x), np.inf)
+        some = max(1, _BLOCK // centers.shape[1])  # vectors times centroids
+        wide = min(len(centers), some)
+        high = max(1, some // wide)
+        for c in range(0, len(centers), wide):
+            for r in range(0, len(x), high):
+                part = x[r : r + high, None, :] - centers[None, c : c + wide, :]
+                gaps = (part * part).sum(axis=2)
+                near = gaps.argmin(axis=1)
+                found = gaps[np.arange(len(near)), near]
+                closer = found < gap[r : r + high]
+                best[r : r + high][closer] = near[closer] + c
+                gap[r : r + high][closer] = found[closer]
+        return pd.DataFrame({"cluster_id": ids[best], "distance": np.sqrt(gap)})
 
     found = nearest(vector_to_array("features"))
     return points.select("row_id", found.alias("found")).select("row_id", "found.*")
 
 
+def _squared_gap() -> Column:
+    """Squared distance of ``features`` to the column ``centroid``; a sparse vector stays sparse."""
+    square = lambda s, x: s + x * x
+    vector = F.unwrap_udt("features")
+    dense = F.aggregate(
+        F.zip_with(vector["values"], "centroid", lambda a, b: a - b), F.lit(0.0), square
+    )
+    along = F.aggregate(
+        F.zip_with(vector["indices"], vector["values"], lambda i, x: x * F.get(F.col("centroid"), i)),
+        F.lit(0.0),
+        lambda s, x: s + x,
+    )
+    sparse = (
+        F.aggregate(vector["values"], F.lit(0.0), square)
+        + F.aggregate("centroid", F.lit(0.0), square)
+        - 2 * along
+    )
+    return F.when(vector["type"] == 1, dense).otherwise(F.greatest(sparse, F.lit(0.0)))
+
+
 def exemplars(
     texts: DataFrame, members: DataFrame, centroids: DataFrame, cfg: AuditConfig
 ) -> DataFrame:
@@ -179,16 +220,11 @@ def exemplars(
         members.groupBy("cluster_id").agg(F.count("*").alias("n")), "cluster_id", "left"
     ).fillna(0, ["n"])
     table = stage(sized.select("cluster_id", "centroid", "n"), "centroids")
-    gap = F.aggregate(
-        F.zip_with(vector_to_array("features"), "centroid", lambda a, b: (a - b) * (a - b)),
-        F.lit(0.0),
-        lambda s, x: s + x,
-    )
     near = keyed_lookup(members, table, ["cluster_id"], "n", cfg).select(
-        "row_id", "cluster_id", gap.alias("gap")
+        "row_id", "cluster_id", _squared_gap().alias("gap")
     )
     top = top_k_per_group(near, ["cluster_id"], ["gap", "row_id"], "row_id", cfg.exemplars, cfg)
-    # At most `exemplars` rows for each of at most k_max clusters from here on.
+    # At most `exemplars` rows per cluster from here on.
     named = texts.select("row_id", "instruction").join(F.broadcast(top), "row_id").select(
         "cluster_id",
         F.struct("position", preview(F.col("instruction"), cfg.exemplar_chars).alias("text")).alias(
@@ -206,16 +242,23 @@ def exemplars(
 
 
 def default_labels(df: DataFrame) -> DataFrame:
-    """cluster_<id> until someone has read the exemplars."""
-    return df.withColumn("cluster_label", F.concat(F.lit("cluster_"), F.col("cluster_id")))
+    """cluster_<id> until someone has read the exemplars; rows of no cluster are unassigned."""
+    named = F.concat(F.lit("cluster_"), F.col("cluster_id"))
+    label = F.when(F.col("cluster_id") == UNASSIGNED, UNASSIGNED_LABEL).otherwise(named)
+    return df.withColumn("cluster_label", label)
 
 
 def relabel_clusters(df: DataFrame, names: dict[int, str]) -> DataFrame:
-    """Names from a map; every id in use must be in it, extra names are fine."""
+    """Names from a map; every id in use must be in it, extra names are fine.
+
+    Rows of no cluster need no name.
+    """
+    names = {UNASSIGNED: UNASSIGNED_LABEL, **names}
     unknown = df.filter(~F.col("cluster_id").isin(*names) | F.col("cluster_id").isNull())
-    missing = [r[0] for r in unknown.select("cluster_id").distinct().limit(100).collect()]
+    unnamed = unknown.groupBy("cluster_id").count()
+    missing = sorted((r[0] for r in unnamed.limit(20).collect()), key=str)
     if missing:
-        raise KeyError(f"cluster ids without a name: {sorted(missing, key=str)}")
+        raise KeyError(f"{unnamed.count()} cluster ids without a name, among them {missing}")
     pairs = [F.lit(x) for item in names.items() for x in item]
     return df.withColumn(
         "cluster_label", F.element_at(F.create_map(*pairs), F.col("cluster_id"))
@@ -230,24 +273,25 @@ def cluster_corpus(
 ) -> tuple[DataFrame, DataFrame]:
     """((row_id, cluster_id, cluster_label) of every row, one-row selection record).
 
-    Fits on a sample, assigns every row.  Rows without a usable vector get
-    cluster -1.
+    Fits on all rows, or on ``fit_sample`` of them if that is set, and assigns
+    every row.  Rows without a usable vector get cluster -1.
     """
     points = stage(hashed_vectors(df, cfg) if vectors is None else vectors, "vectors-dense")
     usable = points.filter(_nonzero())
-    fit_on = stage(sample_rows(usable, cfg.fit_sample, seed=cfg.seed), "fit-sample")
+    fit_on = usable
+    if cfg.fit_sample is not None:
+        fit_on = stage(sample_rows(usable, cfg.fit_sample, seed=cfg.seed), "fit-sample")
     best, model, scores = sweep_k(fit_on, cfg)
 
-    every = df.select("row_id").join(
-        assign(usable, model).select("row_id", "cluster_id"), "row_id", "left"
-    )
+    members = assign(usable, model)
+    every = df.select("row_id").join(members.select("row_id", "cluster_id"), "row_id", "left")
     out = stage(
         default_labels(
             every.withColumn("cluster_id", F.coalesce("cluster_id", F.lit(UNASSIGNED)))
         ),
         "assigned",
     )
-    lists = exemplars(df, assign(fit_on, model), centroid_table(model, df.sparkSession), cfg)
+    lists = exemplars(df, members, centroid_table(model, df.sparkSession), cfg)
     return out, selection_record(best, scores, lists, out)
 
 

@@ -50,15 +50,21 @@ def test_sweep_finds_the_blobs(spark, blobs):
     assert all(found[i] == found[i + 3] for i in range(1, 88))
 
 
-def test_given_centroids_agree_with_the_model(spark, blobs):
+def test_given_centroids_agree_with_the_model(spark, blobs, monkeypatch):
     points = km.precomputed_vectors(blobs, "id", "v")
     model = km.fit_kmeans(points, 3, CFG)
     centroids = km.centroid_table(model, spark)
     a = {r["row_id"]: r["cluster_id"] for r in km.assign(points, model).collect()}
-    b = {r["row_id"]: r["cluster_id"] for r in km.assign_to_centroids(points, centroids, CFG).collect()}
+    b = {r["row_id"]: r["cluster_id"] for r in km.assign_to_centroids(points, centroids).collect()}
     assert a == b
-    with pytest.raises(ValueError):
-        km.assign_to_centroids(points, centroids, replace(CFG, k_max=2))
+    # Any number of centroids, in blocks of any size; equal ones go to the smaller id.
+    many = [(100 + i, r["features"].toArray().tolist()) for i, r in enumerate(points.collect())]
+    many += [(1000 + i, v) for i, v in many]
+    table = spark.createDataFrame(many, "cluster_id int, centroid array<double>")
+    for block in (1 << 20, 7):
+        monkeypatch.setattr(km, "_BLOCK", block)
+        found = km.assign_to_centroids(points, table).collect()
+        assert all(r["distance"] == 0 and r["cluster_id"] < 1000 for r in found)
 
 
 def test_silhouette_is_the_pairwise_one(spark, blobs):
@@ -99,6 +105,52 @@ def test_relabel_names_unknown_ids(spark):
         km.relabel_clusters(df, {0: "zero"})
 
 
+def test_rows_of_no_cluster_need_no_name(spark):
+    df = spark.createDataFrame([(1, 0), (2, -1)], "row_id bigint, cluster_id int")
+    named = km.relabel_clusters(df, {0: "zero"}).collect()
+    assert {r["cluster_id"]: r["cluster_label"] for r in named} == {0: "zero", -1: "unassigned"}
+    many = spark.range(300).select(F.col("id").cast("int").alias("cluster_id"))
+    with pytest.raises(KeyError, match="299 cluster ids"):
+        km.relabel_clusters(many, {0: "zero"})
+
+
+def test_sparse_and_dense_vectors_have_the_same_exemplars(spark):
+    rng = np.random.default_rng(1)
+    values = rng.normal(size=(60, 8)) * (rng.random((60, 8)) < 0.4)
+    sparse = [(i, Vectors.sparse(8, {int(j): float(v[j]) for j in np.flatnonzero(v)}), i % 3) for i, v in enumerate(values)]
+    dense = [(i, Vectors.dense(v), i % 3) for i, v in enumerate(values)]
+    texts = spark.range(60).select(F.col("id").alias("row_id"), F.col("id").cast("string").alias("instruction"))
+    centroids = spark.createDataFrame([(c, values[c::3].mean(axis=0).tolist()) for c in range(3)], "cluster_id int, centroid array<double>")
+    found = []
+    for rows in (sparse, dense):
+        members = spark.createDataFrame(rows, ["row_id", "features", "cluster_id"]).withColumn("cluster_id", F.col("cluster_id").cast("int"))
+        found.append({r["cluster_id"]: r["exemplars"] for r in km.exemplars(texts, members, centroids, CFG).collect()})
+    assert found[0] == found[1]
+
+
+def test_a_sample_keeps_its_partitions(spark):
+    from chaffsieve.operators.sample import draw, sample_rows
+
+    rows = spark.range(0, 5000, 1, 16).withColumnRenamed("id", "row_id")
+    picked = sample_rows(rows, 700, seed=3)
+    assert picked.rdd.getNumPartitions() > 1
+    want = rows.withColumn("d", draw("row_id", 3)).orderBy("d", "row_id").limit(700)
+    assert {r["row_id"] for r in picked.collect()} == {r["row_id"] for r in want.collect()}
+
+
+def test_the_fit_uses_all_rows_unless_told_otherwise(spark, monkeypatch):
+    texts = [f"word{i % 7} thing{i % 5}" for i in range(90)]
+    df = spark.createDataFrame([(i + 1, t, t) for i, t in enumerate(texts)], "row_id bigint, instruction string, instruction_clean string")
+    seen = []
+    sweep = km.sweep_k
+    monkeypatch.setattr(km, "sweep_k", lambda points, cfg: seen.append(points.count()) or sweep(points, cfg))
+    km.cluster_corpus(df, replace(CFG, fit_sample=None, k_max=2))
+    km.cluster_corpus(df, replace(CFG, fit_sample=40, k_max=2))
+    assert seen == [90, 40]
+    defaults = AuditConfig()
+    assert (defaults.fit_sample, defaults.restarts) == (None, 10)
+
+
 def test_rows_without_words_stay_unassigned(spark):
     texts = ["red apple", "red apple pie", "blue sky", "blue sky wide", "", "green tea"] * 5
     df = spark.createDataFrame(
@@ -108,7 +160,7 @@ def test_rows_without_words_stay_unassigned(spark):
     clusters, record = km.cluster_corpus(df, CFG)
     got = {r["row_id"]: (r["cluster_id"], r["cluster_label"]) for r in clusters.collect()}
     assert len(got) == 30
-    assert all((got[i + 1] == (-1, "cluster_-1")) == (t == "") for i, t in enumerate(texts))
+    assert all((got[i + 1] == (-1, "unassigned")) == (t == "") for i, t in enumerate(texts))
     r = record.first()
     assert sum(r["sizes"].values()) == 30 and r["best_k"] in r["silhouette_by_k"]
     assert set(r["exemplars"]) == {str(i) for i in range(r["best_k"])}
