@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chaffsieve.config import AuditConfig
@@ -25,6 +26,10 @@ def enrich(raw: DataFrame, cfg: AuditConfig) -> DataFrame:
     return _quality.row_flags(_clean.enrich(raw, cfg), cfg)
 
 
+# The flags that thresholds decide and one row settles.
+ROW_FLAGS = ("flag_truncated", "flag_too_short", "flag_empty_ish", "flag_repetitive")
+
+
 def flag(df: DataFrame, cfg: AuditConfig) -> DataFrame:
     """Stage 3: near duplicates, flags, score."""
     return _quality.flag_quality(flag_near_duplicates(df, cfg), cfg)
@@ -51,6 +56,14 @@ def build_fact(raw: DataFrame, cfg: AuditConfig, names: dict[int, str] | None =
     return stage(sinks.select_fact(with_cluster_columns(flag(enriched, cfg))), "fact")
 
 
+def missing_module(error: Exception) -> str | None:
+    """The message of an import that failed, here or in a task; None for any other error."""
+    if isinstance(error, ImportError):
+        return str(error)
+    raised = re.findall(r"^(?:ModuleNotFoundError|ImportError): (.*)$", str(error), re.M)
+    return raised[-1] if raised else None
+
+
 @dataclass
 class AuditResult:
     fact: DataFrame
@@ -92,10 +105,15 @@ def audit(
     if cluster:
         try:
             given = vectors(df) if callable(vectors) else vectors
-            clusters, selection = _cluster.cluster_corpus(df, cfg, given)
-        except ImportError as error:
-            problems.append(f"clustering skipped: {error}")
+            if given is not None:
+                given.limit(1).collect()  # a model loads in a task, and may not be there
+        except Exception as error:
+            missing = missing_module(error)
+            if missing is None:
+                raise
+            problems.append(f"clustering skipped: {missing}")
         else:
+            clusters, selection = _cluster.cluster_corpus(df, cfg, given)
             if names is not None:
                 clusters = _cluster.relabel_clusters(clusters, names)
             # Saved narrow; the texts are joined and written once, with the flags.
@@ -103,7 +121,22 @@ def audit(
             df = _cluster.attach_clusters(df, clusters)
             sinks.write_json(selection, f"{out}/cluster_selection")
 
-    df = sinks.write_enriched(flag(df, cfg), out, "flagged")
+    result = _report(flag(df, cfg), "flagged", out, cfg, load, views)
+    result.baseline, result.selection = baseline, selection
+    result.problems[:0] = problems
+    return result
+
+
+def _report(
+    flagged: DataFrame,
+    stage_name: str,
+    out: str,
+    cfg: AuditConfig,
+    load: Callable[[DataFrame], int] | None,
+    views: bool,
+) -> AuditResult:
+    """Save flagged rows as a stage, then everything that is derived from them."""
+    df = sinks.write_enriched(flagged, out, stage_name)
     report = _quality.audit_report(df, cfg)
     sinks.write_json(report, f"{out}/audit_summary")
     review = review_sample(df, cfg)
@@ -111,12 +144,57 @@ def audit(
     sinks.write_sample_csv(df, f"{out}/enriched_sample", cfg)
 
     fact = sinks.select_fact(with_cluster_columns(df))
-    result = AuditResult(fact, report, baseline, selection, review, problems=problems)
+    result = AuditResult(fact, report, _quality.rule_baseline(df), review=review)
     if load is not None:
         try:
             result.loaded = load(fact)
         except Exception as error:
-            problems.append(f"load failed: {error}")
+            result.problems.append(f"load failed: {error}")
     if views:
         result.view_status = sinks.export_views(fact, VIEWS, f"{out}/views", cfg)
     return result
+
+
+def rename(
+    spark: SparkSession,
+    out: str,
+    names: dict[int, str],
+    cfg: AuditConfig,
+    load: Callable[[DataFrame], int] | None = None,
+    views: bool = True,
+) -> AuditResult:
+    """Name the clusters of a finished audit: nothing is fitted or flagged again.
+
+    Names usually come from reading the exemplars.  The renamed rows are a
+    stage of their own, since the flagged ones are read meanwhile; reports,
+    samples and views are written anew.
+    """
+    df = sinks.read_enriched(spark, out, "flagged")
+    return _report(_cluster.relabel_clusters(df, names), "renamed", out, cfg, load, views)
+
+
+def reflag(
+    spark: SparkSession,
+    out: str,
+    cfg: AuditConfig,
+    load: Callable[[DataFrame], int] | None = None,
+    views: bool = True,
+) -> AuditResult:
+    """Flag the saved rows of an audit again, with other thresholds: features and clusters stay."""
+    df = sinks.read_enriched(spark, out, "enriched")
+    if sinks.has_stage(spark, out, "clusters"):
+        df = _cluster.attach_clusters(df, sinks.read_enriched(spark, out, "clusters"))
+    kept = [c for c in df.columns if c not in ROW_FLAGS]
+    return _report(flag(df.select(*kept), cfg), "flagged", out, cfg, load, views)
+
+
+def store_views(fact: DataFrame, cfg: AuditConfig, prefix: str = "") -> list[str]:
+    """The views as tables of the session's catalog, readable by name in later sessions.
+
+    ``prefix`` may name a database, with its dot.
+    """
+    names = []
+    for name, view in VIEWS.items():
+        view(fact, cfg).write.mode("overwrite").saveAsTable(f"{prefix}{name}")
+        names.append(f"{prefix}{name}")
+    return names

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chaffsieve.config import AuditConfig
@@ -18,46 +20,40 @@ from chaffsieve.operators.tfidf import weighted_terms
 from chaffsieve.plans.audit import build_fact, enrich, flag
 from chaffsieve.plans.views import VIEWS
 from chaffsieve.schema import QUALITY_FLAGS
-from chaffsieve.sources import corpus
+from chaffsieve.sources import corpus, sinks
+from chaffsieve.sources.corpus import CLUSTER_NAMES
 from chaffsieve.sources.sinks import select_fact
-from chaffsieve.sources.staging import stage
+from chaffsieve.sources.staging import scratch_root, shared, stage
 
 CFG = AuditConfig()
+# So few terms per group that the limit binds on any of the test tables.
+SMALL_VOCABULARY = replace(CFG, max_features=40)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Tables staged from the test data, once per application and data folder, the
-# way the views of a loaded corpus share its fact table.
-_staged: dict[tuple[str, str, str], DataFrame] = {}
-
-
-def _once(spark: SparkSession, base: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    key = (spark.conf.get("spark.app.id", ""), base, name)
-    if key not in _staged:
-        _staged[key] = build()
-    return _staged[key]
+# Staged once per application and data folder, the way the views of a loaded
+# corpus share its fact table.
 
 
 def enriched(spark: SparkSession, base: str) -> DataFrame:
-    return _once(
+    return shared(
         spark,
-        base,
-        "enriched",
+        (base, "enriched"),
         lambda: stage(enrich(corpus.corpus_mixed(spark, base), CFG), "enriched"),
     )
 
 
 def fact(spark: SparkSession, base: str) -> DataFrame:
     def build() -> DataFrame:
-        named = km.relabel_clusters(enriched(spark, base), km.CLUSTER_NAMES)
+        named = km.relabel_clusters(enriched(spark, base), CLUSTER_NAMES)
         return stage(select_fact(flag(named, CFG)), "fact")
 
-    return _once(spark, base, "fact", build)
+    return shared(spark, (base, "fact"), build)
 
 
 def full_build(spark: SparkSession, base: str) -> DataFrame:
     """The fact table from the raw tables, sharing nothing."""
-    return build_fact(corpus.corpus_mixed(spark, base), CFG, km.CLUSTER_NAMES)
+    return build_fact(corpus.corpus_mixed(spark, base), CFG, CLUSTER_NAMES)
 
 
 def _cleaned(spark: SparkSession, base: str) -> DataFrame:
@@ -106,10 +102,18 @@ def _fences(spark: SparkSession, base: str) -> DataFrame:
 
 
 def _report(spark: SparkSession, base: str) -> DataFrame:
-    report = ql.audit_report(fact(spark, base), CFG)
-    return report.select("*", *[f"flag_counts.{f}" for f in QUALITY_FLAGS]).drop(
-        "flag_counts", "cluster_sizes"
+    return _flat(ql.audit_report(fact(spark, base), CFG))
+
+
+def _flat(report: DataFrame) -> DataFrame:
+    """The report's struct as columns, its map as text."""
+    sizes = F.transform(
+        F.array_sort(F.map_entries("cluster_sizes")),
+        lambda e: F.concat_ws("=", e["key"], e["value"]),
     )
+    return report.select("*", *[f"flag_counts.{f}" for f in QUALITY_FLAGS]).drop(
+        "flag_counts"
+    ).withColumn("cluster_sizes", F.array_join(sizes, ";"))
 
 
 def _points(spark: SparkSession, base: str) -> DataFrame:
@@ -123,7 +127,7 @@ def _assigned(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
     """(assignment to the nearest label mean, the label means)."""
     points = _points(spark, base)
     centroids = km.centroids_of(points)
-    return km.assign_to_centroids(points, centroids, CFG), centroids
+    return km.assign_to_centroids(points, centroids), centroids
 
 
 def _members(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
@@ -153,17 +157,32 @@ def _exemplars(spark: SparkSession, base: str) -> DataFrame:
 def _fit(spark: SparkSession, base: str) -> DataFrame:
     points = _points(spark, base).drop("cluster_id")
     model = km.fit_kmeans(points, 7, CFG)
-    return km.assign(points, model).select("row_id", "cluster_id")
+    nearest = km.assign_to_centroids(points, km.centroid_table(model, spark))
+    both = km.assign(points, model).join(
+        nearest.select("row_id", F.col("cluster_id").alias("nearest")), "row_id"
+    )
+    return both.select("row_id", (F.col("cluster_id") == F.col("nearest")).alias("at_nearest"))
 
 
 def _sweep(spark: SparkSession, base: str) -> DataFrame:
-    _, _, scores = km.sweep_k(_points(spark, base).drop("cluster_id"), CFG)
-    return scores
+    points = _points(spark, base).drop("cluster_id")
+    best, model, scores = km.sweep_k(points, CFG)
+    every = Window.partitionBy()  # one row per k
+    return scores.select(
+        F.col("k").cast("bigint").alias("k"),
+        F.col("silhouette").between(-1, 1).alias("score_in_range"),
+        F.count_if((F.col("k") == best) & (F.col("silhouette") == F.max("silhouette").over(every)))
+        .over(every)
+        .alias("n_best"),
+        F.lit(km.assign(points, model).filter(F.col("cluster_id") < best).count()).alias(
+            "rows_assigned"
+        ),
+    )
 
 
 def _cluster_corpus(spark: SparkSession, base: str) -> DataFrame:
     clustered, _ = km.cluster_corpus(enriched(spark, base), CFG)
-    return clustered.groupBy("cluster_id", "cluster_label").agg(F.count("*").alias("row_count"))
+    return clustered.select("row_id", (F.col("cluster_label") == "unassigned").alias("is_unassigned"))
 
 
 def _quartile(spark: SparkSession, base: str) -> DataFrame:
@@ -207,12 +226,104 @@ def _review(spark: SparkSession, base: str) -> DataFrame:
     return _digest(review_sample(fact(spark, base), CFG))
 
 
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _read_csv(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.options(header=True, multiLine=True, escape='"').csv(path)
+
+
+def _saved_stage(spark: SparkSession, base: str) -> DataFrame:
+    out = _folder(spark, "saved")
+    sinks.write_enriched(enriched(spark, base), out, "enriched")
+    return _features(sinks.read_enriched(spark, out, "enriched"))
+
+
+def _sample_csv(spark: SparkSession, base: str) -> DataFrame:
+    out = _folder(spark, "sample-csv")
+    sinks.write_sample_csv(fact(spark, base), out, CFG)
+    return _read_csv(spark, out).select(
+        F.col("row_id").cast("bigint").alias("row_id"),
+        "instruction",
+        F.md5("output").alias("output_md5"),
+        F.col("adequacy_score").cast("bigint").alias("adequacy_score"),
+    )
+
+
+def _review_csv(spark: SparkSession, base: str) -> DataFrame:
+    out = _folder(spark, "review-csv")
+    sinks.write_review_csv(review_sample(fact(spark, base), CFG), out)
+    return _read_csv(spark, out).select(
+        F.col("row_id").cast("bigint").alias("row_id"),
+        F.md5("output").alias("output_md5"),
+        *[F.col(c).cast("bigint").alias(c) for c in ("n_flags", "adequacy_score", *QUALITY_FLAGS)],
+    )
+
+
+def _audit_json(spark: SparkSession, base: str) -> DataFrame:
+    out = _folder(spark, "audit-json")
+    report = ql.audit_report(fact(spark, base), CFG)
+    sinks.write_json(report, out)
+    return _flat(spark.read.schema(report.schema).json(out))
+
+
+def _loaded(spark: SparkSession, base: str) -> DataFrame:
+    table = f"fact_{uuid.uuid4().hex}"
+    sinks.load_fact_table(fact(spark, base), table)
+    return _plain(spark.table(table))
+
+
+def _exported(spark: SparkSession, base: str) -> DataFrame:
+    out = _folder(spark, "views")
+    status = sinks.export_views(fact(spark, base), VIEWS, out, CFG)
+    counts = [
+        _read_csv(spark, f"{out}/{name}").agg(
+            F.lit(name).alias("view"), F.lit(said).alias("status"), F.count("*").alias("row_count")
+        )
+        for name, said in status.items()
+    ]
+    found = counts[0]
+    for more in counts[1:]:
+        found = found.unionByName(more)
+    return found
+
+
+# Views with an order, and the columns that name their rows.
+ORDERED = {
+    "v_cluster_composition": ["cluster_label"],
+    "v_rule_vs_cluster": ["prompt_type_rule"],
+    "v_duplicate_rate": ["cluster_label"],
+    "v_length_quality": ["quartile"],
+    "v_cleaning_impact": ["cluster_label", "disposition"],
+}
+
+
+def _ordered(spark: SparkSession, base: str) -> DataFrame:
+    """Where each row of the ordered views stands; they have a row per cluster or class."""
+    found = None
+    for name, key in ORDERED.items():
+        placed = VIEWS[name](fact(spark, base), CFG).select(
+            F.lit(name).alias("view"),
+            F.concat_ws("/", *[F.col(c).cast("string") for c in key]).alias("row_name"),
+            F.monotonically_increasing_id().alias("at"),
+        )
+        found = placed if found is None else found.unionByName(placed)
+    place = F.row_number().over(Window.partitionBy("view").orderBy("at")).cast("bigint")
+    return found.select("view", "row_name", place.alias("place"))
+
+
 def _view(name: str) -> Query:
     return lambda spark, base: VIEWS[name](fact(spark, base), CFG)
 
 
 QUERIES: dict[str, Query] = {
     "clean_corpus": lambda s, d: _digest(_cleaned(s, d)).drop("is_exact_duplicate"),
+    "corpus_with_text_column": lambda s, d: _digest(
+        cl.number_rows(
+            cl.clean(corpus.corpus_mixed(s, d).withColumn("text", F.upper("instruction")))
+        )
+    ).drop("is_exact_duplicate"),
     "cleaning_counts": lambda s, d: cl.cleaning_counts(corpus.corpus_mixed(s, d)),
     "limit_rows": _limit,
     "row_id": _row_id,
@@ -232,6 +343,9 @@ QUERIES: dict[str, Query] = {
     "rule_baseline": lambda s, d: ql.rule_baseline(enriched(s, d)),
     "tfidf_weights": _tfidf,
     "near_duplicates": lambda s, d: _rounded(near_duplicates(enriched(s, d), CFG)),
+    "near_duplicates_small_vocabulary": lambda s, d: _rounded(
+        near_duplicates(enriched(s, d), SMALL_VOCABULARY)
+    ),
     "near_duplicates_any_earlier": lambda s, d: _rounded(
         near_duplicates(enriched(s, d), CFG, rule="any_earlier")
     ),
@@ -245,7 +359,7 @@ QUERIES: dict[str, Query] = {
         "row_id", "n_flags", "adequacy_score"
     ),
     "select_fact": lambda s, d: _plain(full_build(s, d)),
-    "relabel_clusters": lambda s, d: km.relabel_clusters(_cleaned(s, d), km.CLUSTER_NAMES).select(
+    "relabel_clusters": lambda s, d: km.relabel_clusters(_cleaned(s, d), CLUSTER_NAMES).select(
         "row_id", "cluster_id", "cluster_label"
     ),
     "cluster_sizes": lambda s, d: ql.cluster_sizes(fact(s, d)),
@@ -255,6 +369,13 @@ QUERIES: dict[str, Query] = {
     "review_sample": _review,
     "sample_rows": lambda s, d: sample_rows(enriched(s, d).select("row_id"), 200, seed=CFG.seed),
     "audit_report": _report,
+    "saved_stage": _saved_stage,
+    "sample_csv": _sample_csv,
+    "review_csv": _review_csv,
+    "audit_json": _audit_json,
+    "loaded_fact": _loaded,
+    "exported_views": _exported,
+    "ordered_views": _ordered,
     **{name: _view(name) for name in VIEWS},
     "assign_clusters": lambda s, d: _assigned(s, d)[0].withColumn(
         "distance", F.round("distance", 6)

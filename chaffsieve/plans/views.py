@@ -32,7 +32,7 @@ def _average_score(digits: int):
 
 
 def cluster_composition(fact: DataFrame, cfg: AuditConfig) -> DataFrame:
-    """Is the corpus balanced: size, share and averages per cluster."""
+    """Size, share and averages of each cluster."""
     grouped = fact.groupBy("cluster_label").agg(
         F.count("*").alias("row_count"),
         _average("instruction_word_count", 1).alias("avg_instruction_len"),
@@ -135,7 +135,7 @@ def worst_by_cluster(fact: DataFrame, cfg: AuditConfig) -> DataFrame:
 
 
 def flag_prevalence(fact: DataFrame, cfg: AuditConfig) -> DataFrame:
-    """Which failure mode dominates: one scan, then columns to rows."""
+    """Rows and share per quality flag: one scan, then columns to rows."""
     counts = fact.agg(
         F.count("*").alias("rows"),
         *[F.sum(f).alias(f.removeprefix("flag_")) for f in QUALITY_FLAGS],
@@ -198,7 +198,7 @@ def deviation_from_cluster(fact: DataFrame, cfg: AuditConfig) -> DataFrame:
 
 
 def cleaning_impact(fact: DataFrame, cfg: AuditConfig) -> DataFrame:
-    """What to drop and what survives, per cluster."""
+    """Rows per cluster and recommended treatment."""
     grouped = fact.groupBy("cluster_label", rules.disposition(cfg).alias("disposition")).agg(
         F.count("*").alias("n_rows")
     )

@@ -28,6 +28,11 @@ def read_enriched(spark: SparkSession, root: str, stage_name: str, limit: int |
     return df if limit is None else df.filter(F.col("row_id") <= limit)
 
 
+def has_stage(spark: SparkSession, root: str, stage_name: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/stage={stage_name}")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def select_fact(df: DataFrame) -> DataFrame:
     """The fact columns in order and typed; names any that are missing."""
     missing = [c for c in FACT_COLUMNS if c not in df.columns]
@@ -59,6 +64,11 @@ def load_fact_table(fact: DataFrame, table: str, truncate: bool = True) -> int:
     spark = fact.sparkSession
     rows = select_fact(fact)
     create_fact_table(spark, table)
+    # Rows go in by position, so another table's columns would be filled with the wrong ones.
+    have, want = ([(f.name, f.dataType) for f in t.fields] for t in (spark.table(table).schema, FACT))
+    if have != want:
+        odd = [f"{n} {k.simpleString()}" for n, k in have if (n, k) not in want]
+        raise ValueError(f"{table} is not a fact table; unexpected or misplaced columns: {odd}")
     before = 0 if truncate else spark.table(table).count()
     # Sorted files let a reader skip by row_id, cluster and score.
     rows.sortWithinPartitions("cluster_id", "adequacy_score").write.insertInto(
@@ -75,25 +85,43 @@ def load_fact_jdbc(
     cfg: AuditConfig,
     truncate: bool = True,
 ) -> int:
-    """Load into an existing table of a database, in batches."""
+    """Load into an existing table of a database, in batches over a few connections.
+
+    The database counts its rows itself.  A missing table is an error, and so
+    is truncating where Spark would drop the table and make a new one.
+    """
     spark = fact.sparkSession
     rows = select_fact(fact)
+    if truncate and not _truncates(spark, url):
+        raise ValueError(f"Spark replaces tables of {url.split(':')[1]} instead of truncating them")
 
-    def reader():
-        return spark.read.jdbc(url, table, properties=properties)
+    def counted() -> int:
+        query = f"(SELECT COUNT(*) AS n FROM {table}) counted"
+        return int(spark.read.jdbc(url, query, properties=properties).first()[0])
 
-    before = 0 if truncate else reader().count()
+    there = counted()  # fails here if there is no such table
     (
         rows.write.mode("overwrite" if truncate else "append")
         .option("truncate", True)
         .option("batchsize", cfg.load_batch)
+        .option("numPartitions", cfg.load_connections)
         .jdbc(url, table, properties=properties)
     )
-    return verify_load(reader(), before + rows.count())
+    return check_count(counted(), rows.count() + (0 if truncate else there))
+
+
+def _truncates(spark: SparkSession, url: str) -> bool:
+    """Whether Spark's dialect truncates a table in place: known not to cascade."""
+    dialect = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url)
+    cascades = dialect.isCascadingTruncateTable()
+    return cascades.isDefined() and not cascades.get()
 
 
 def verify_load(loaded: DataFrame, expected: int) -> int:
-    found = loaded.count()
+    return check_count(loaded.count(), expected)
+
+
+def check_count(found: int, expected: int) -> int:
     if found != expected:
         raise RuntimeError(f"loaded table has {found} rows, expected {expected}")
     return found

@@ -8,21 +8,33 @@ broadcast checks rely on.
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 _LOCAL = "chaffsieve.scratch"
 
+# Staged tables that several callers share, by application and key.
+_shared: dict[tuple, DataFrame] = {}
+
+
+def _context_folder(spark: SparkSession) -> str | None:
+    """The folder given to SparkContext.setCheckpointDir, if any."""
+    folder = spark._jsc.sc().getCheckpointDir()
+    return folder.get() if folder.isDefined() else None
+
 
 def scratch_root(spark: SparkSession) -> str:
     """Where this application stages: below the cluster's checkpoint folder.
 
     Only a local master may go without one; it gets a temporary folder, once.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_LOCAL, None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or _context_folder(spark)
+    base = base or spark.conf.get(_LOCAL, None)
     if not base:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
@@ -39,8 +51,27 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def shared(spark: SparkSession, key: tuple, build: Callable[[], DataFrame]) -> DataFrame:
+    """What ``build`` makes, once per application until it is released."""
+    key = (spark.conf.get("spark.app.id", ""), *key)
+    if key not in _shared:
+        _shared[key] = build()
+    return _shared[key]
+
+
 def release(spark: SparkSession) -> None:
-    """Delete what this application staged; call it when its results are saved."""
+    """Delete what this application staged; call it when its results are saved.
+
+    Shared tables are forgotten, and the temporary folder of a local master
+    goes as a whole.
+    """
+    app = spark.conf.get("spark.app.id", "")
+    for key in [k for k in _shared if k[0] == app]:
+        del _shared[key]
     jvm = spark._jvm
     path = jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    made = spark.conf.get(_LOCAL, None)
+    if made:
+        shutil.rmtree(made, ignore_errors=True)
+        spark.conf.unset(_LOCAL)

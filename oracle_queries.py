@@ -8,13 +8,15 @@ from __future__ import annotations
 
 from chaffsieve import AuditConfig
 from chaffsieve.functions.text import PROMPT_CLASSES, READABILITY_LEVELS, WHITESPACE
-from chaffsieve.operators.cluster import CLUSTER_NAMES
+from chaffsieve.plans.queries import SMALL_VOCABULARY
 from chaffsieve.schema import QUALITY_FLAGS
 from chaffsieve.sources.corpus import (
+    CLUSTER_NAMES,
     CONVERSATION_CLUSTER,
     LANGUAGE_CLUSTERS,
     PAGE_CLUSTER,
     PREFIX_VERBS,
+    TURN_SPAN,
 )
 
 CFG = AuditConfig()
@@ -70,7 +72,7 @@ FROM ({DOCUMENTS})
 """
 
 CONVERSATIONS = f"""
-SELECT a.conv_id * 1000 + a.turn AS order_key, a.text AS instruction,
+SELECT a.conv_id * {TURN_SPAN} + a.turn AS order_key, a.text AS instruction,
        coalesce((SELECT arg_min(s.text, s.turn) FROM conversations s
                  WHERE s.conv_id = a.conv_id AND s.role = 'system'), '') AS input,
        b.text AS output, {CONVERSATION_CLUSTER} AS cluster_id
@@ -188,7 +190,7 @@ def with_features(raw: str = MIXED) -> str:
 # ---- near duplicates -------------------------------------------------------
 
 
-def tfidf(group: str) -> str:
+def tfidf(group: str, k: int = CFG.max_features) -> str:
     stop = lits(CFG.stop_words)
     return f"""
 blocks AS (SELECT {group} AS g, count(*) AS n FROM featured WHERE {group} IS NOT NULL GROUP BY 1),
@@ -207,7 +209,7 @@ all_terms AS (
 tf AS (SELECT row_id, g, term, count(*) AS tf FROM all_terms GROUP BY ALL),
 vocab AS (
     SELECT g, term, count(*) AS df FROM tf GROUP BY g, term HAVING count(*) >= {CFG.min_df}
-    QUALIFY row_number() OVER (PARTITION BY g ORDER BY sum(tf) DESC, term) <= {CFG.max_features}),
+    QUALIFY row_number() OVER (PARTITION BY g ORDER BY sum(tf) DESC, term) <= {k}),
 raw_weights AS (
     SELECT row_id, tf.g, term, tf, tf * (ln((1 + n) / (1 + df)) + 1) AS x
     FROM tf JOIN vocab USING (g, term) JOIN blocks USING (g)),
@@ -216,9 +218,9 @@ weights AS MATERIALIZED (
     FROM raw_weights)"""
 
 
-def near(group: str, rule: str = "nearest") -> str:
+def near(group: str, rule: str = "nearest", k: int = CFG.max_features) -> str:
     partner = "" if rule == "nearest" else "AND b.row_id < a.row_id"
-    return f"""{tfidf(group)},
+    return f"""{tfidf(group, k)},
 sims AS (
     SELECT a.row_id, b.row_id AS other, round(sum(a.w * b.w), 9) AS similarity
     FROM weights a JOIN weights b ON a.g = b.g AND a.term = b.term AND a.row_id <> b.row_id {partner}
@@ -299,6 +301,16 @@ nearest AS MATERIALIZED (
 """
 
 
+# Ordered views: what names a row, and the order.
+VIEW_ORDER = (
+    ("v_cluster_composition", "cluster_label", "row_count DESC, cluster_label NULLS FIRST"),
+    ("v_rule_vs_cluster", "prompt_type_rule", "row_count DESC, prompt_type_rule"),
+    ("v_duplicate_rate", "cluster_label", "dupe_pct DESC, cluster_label NULLS FIRST"),
+    ("v_length_quality", "quartile", "quartile"),
+    ("v_cleaning_impact", "cluster_label, disposition", "cluster_label NULLS FIRST, disposition"),
+)
+
+
 def oracle_sql() -> dict[str, str]:
     sql = {
         "clean_corpus": f"WITH {cleaned(MIXED)} SELECT {TEXT_COLUMNS}, cluster_id FROM cleaned",
@@ -341,6 +353,10 @@ def oracle_sql() -> dict[str, str]:
             f""", {near("cluster_id")}
             SELECT row_id, duplicate_of, round(similarity, 6) AS similarity FROM near"""
         ),
+        "near_duplicates_small_vocabulary": on_features(
+            f""", {near("cluster_id", k=SMALL_VOCABULARY.max_features)}
+            SELECT row_id, duplicate_of, round(similarity, 6) AS similarity FROM near"""
+        ),
         "near_duplicates_any_earlier": on_features(
             f""", {near("cluster_id", "any_earlier")}
             SELECT row_id, duplicate_of, round(similarity, 6) AS similarity FROM near"""
@@ -413,7 +429,10 @@ def oracle_sql() -> dict[str, str]:
                 count(*) FILTER ({ANY_DUPE} OR {LOW}) AS recommended_drop_rows,
                 {pct(f"count(*) FILTER ({ANY_DUPE} OR {LOW})", "count(*)")}
                     AS recommended_drop_pct,
-                count(*) FILTER (NOT ({ANY_DUPE} OR {LOW})) AS rows_remaining_after_clean
+                count(*) FILTER (NOT ({ANY_DUPE} OR {LOW})) AS rows_remaining_after_clean,
+                (SELECT string_agg(cluster_label || '=' || n, ';' ORDER BY cluster_label)
+                 FROM (SELECT cluster_label, count(*) AS n FROM fact GROUP BY cluster_label))
+                    AS cluster_sizes
             FROM fact"""
         ),
         "v_cluster_composition": on_fact(
@@ -509,4 +528,43 @@ def oracle_sql() -> dict[str, str]:
                       AS position FROM nearest JOIN documents ON doc_id = row_id)
             WHERE position <= {CFG.exemplars}""",
     }
+    views = [v for v in sql if v.startswith("v_")]
+    selects = {v: sql[v].removeprefix(FACT_CTES) for v in views}
+    sql |= {
+        "corpus_with_text_column": sql["clean_corpus"],
+        "saved_stage": sql["text_features"],
+        "loaded_fact": sql["select_fact"],
+        "audit_json": sql["audit_report"],
+        "sample_csv": on_fact(
+            f"""SELECT row_id, instruction, md5(output) AS output_md5, adequacy_score
+            FROM fact WHERE row_id <= {CFG.sample_csv_rows}"""
+        ),
+        "review_csv": on_fact(
+            f"""SELECT row_id, md5(output) AS output_md5, n_flags, adequacy_score,
+                {", ".join(QUALITY_FLAGS)}
+            FROM fact WHERE {LOW}
+            ORDER BY md5('{CFG.seed}:' || row_id), row_id LIMIT {CFG.review_rows}"""
+        ),
+        "exported_views": on_fact(
+            " UNION ALL ".join(
+                f"SELECT {lit(v)} AS view, 'ok' AS status, count(*) AS row_count FROM ({s})"
+                for v, s in selects.items()
+            )
+        ),
+        "ordered_views": on_fact(
+            " UNION ALL ".join(
+                f"""SELECT {lit(v)} AS view, concat_ws('/', {key}) AS row_name,
+                    row_number() OVER (ORDER BY {order}) AS place FROM ({selects[v]})"""
+                for v, key, order in VIEW_ORDER
+            )
+        ),
+        # K-Means is random, but what its results must satisfy is not.
+        "cluster_corpus": on_features(
+            "SELECT row_id, instruction_clean = '' AS is_unassigned FROM featured"
+        ),
+        "fit_kmeans": "SELECT vec_id AS row_id, true AS at_nearest FROM embeddings",
+        "sweep_k": f"""SELECT k, true AS score_in_range, 1 AS n_best,
+                (SELECT count(*) FROM embeddings) AS rows_assigned
+            FROM range({CFG.k_min}, {CFG.k_max + 1}) AS swept(k)""",
+    }
     return sql

@@ -7,12 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from chaffsieve import AuditConfig
-from chaffsieve.operators.cluster import precomputed_vectors
-from chaffsieve.plans.audit import audit, build_fact, enrich
+from chaffsieve.operators.cluster import model_vectors, precomputed_vectors
+from chaffsieve.plans.audit import audit, build_fact, enrich, reflag, rename, store_views
 from chaffsieve.plans.views import VIEWS
 from chaffsieve.schema import FACT_COLUMNS
 from chaffsieve.sources import sinks
-from chaffsieve.sources.corpus import limit_rows, load_corpus
+from chaffsieve.sources.corpus import corpus_from_conversations, limit_rows, load_corpus
 from chaffsieve.streaming.features import enrich_stream
 
 CFG = replace(AuditConfig(), k_min=2, k_max=3, restarts=1, fit_sample=80)
@@ -87,6 +87,84 @@ def test_missing_model_and_failing_load_are_reported(spark, corpus, tmp_path):
     assert result.fact.count() == 120
 
 
+def test_a_model_missing_on_the_workers_is_reported(spark, corpus, tmp_path):
+    def absent():
+        import no_such_encoder
+
+        return no_such_encoder.load
+
+    def encode(df):
+        return model_vectors(df, absent, CFG)
+
+    result = audit(corpus, str(tmp_path), CFG, vectors=encode, views=False)
+    assert result.selection is None and "no_such_encoder" in result.problems[0]
+    assert {r["cluster_id"] for r in result.fact.collect()} == {None}
+
+    def broken(df):
+        return df.select("row_id", F.raise_error(F.lit("bad vectors")).alias("features"))
+
+    with pytest.raises(Exception, match="bad vectors"):
+        audit(corpus, str(tmp_path / "b"), CFG, vectors=broken, views=False)
+
+
+def test_finished_audits_are_renamed_and_flagged_again(spark, corpus, tmp_path):
+    out = str(tmp_path / "audit")
+    first = audit(corpus.unionByName(corpus.limit(1).selectExpr("-1L AS order_key", "'123 456' AS instruction", "input", "output")), out, CFG, views=False)
+    assert first.fact.filter("cluster_id = -1 AND cluster_label = 'unassigned'").count() == 1
+    ids = [r[0] for r in first.fact.select("cluster_id").distinct().collect()]
+    names = {i: f"topic {i}" for i in ids if i >= 0}
+    renamed = rename(spark, out, names, CFG, load=lambda f: sinks.load_fact_table(f, "fact_renamed"))
+    assert renamed.loaded == 121 and set(renamed.view_status.values()) == {"ok"}
+    labels = {r["cluster_id"]: r["cluster_label"] for r in renamed.fact.collect()}
+    assert labels == {**names, -1: "unassigned"}
+
+    strict = replace(CFG, min_output_words=10_000)
+    # Flagging again replaces the stage that the first result reads.
+    before = {r["row_id"]: r for r in first.fact.collect()}
+    again = reflag(spark, out, strict, views=False)
+    for r in again.fact.collect():
+        assert r["flag_too_short"] == 1
+        assert (r["cluster_id"], r["duplicate_of"]) == (before[r["row_id"]]["cluster_id"], before[r["row_id"]]["duplicate_of"])
+    stored = store_views(again.fact, CFG)
+    assert len(stored) == 9 and spark.table("v_flag_prevalence").filter("flag_name = 'too_short'").first()["n"] == 121
+
+
+def test_keys_must_be_unique(spark, raw):
+    rows = raw([("a", "", "x"), ("b", "", "y"), ("c", "", "z")])
+    twice = rows.withColumn("order_key", F.when(F.col("order_key") == 7, 0).otherwise(F.col("order_key")))
+    with pytest.raises(ValueError, match="0 rows without one, 1 rows repeat one"):
+        enrich(twice, CFG)
+    missing = rows.withColumn("order_key", F.when(F.col("order_key") > 0, F.col("order_key")))
+    with pytest.raises(ValueError, match="1 rows without one"):
+        enrich(missing, CFG)
+
+
+def test_keys_of_any_type_keep_their_order(spark, raw, tmp_path):
+    rows = raw([(t, "", "o") for t in ("d", "b", "a", "c")])
+    rows.withColumn("when", F.expr("timestamp_millis(order_key)")).drop("order_key").write.parquet(f"{tmp_path}/t")
+    rows.withColumn("part", F.expr("cast(order_key / 100 as decimal(10, 4))")).drop("order_key").write.parquet(f"{tmp_path}/d")
+    for path, key in (("t", "when"), ("d", "part")):
+        got = load_corpus(spark, f"{tmp_path}/{path}", key)
+        found = {r["row_id"]: r["instruction"] for r in enrich(got, CFG).collect()}
+        assert [found[i] for i in (1, 2, 3, 4)] == ["d", "b", "a", "c"]
+        assert sorted(r["instruction"] for r in limit_rows(got, 2).collect()) == ["b", "d"]
+
+
+def test_long_conversations_keep_their_keys_apart(spark, tmp_path):
+    turns = [(c, t, "user" if t % 2 == 0 else "assistant", f"{c} {t}") for c in (1, 2) for t in range(998, 1006)]
+    spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = corpus_from_conversations(spark, str(tmp_path))
+    assert got.count() == got.select("order_key").distinct().count() == 8
+
+
+def test_loading_refuses_another_table(spark, corpus):
+    fact = build_fact(corpus.withColumn("cluster_id", F.lit(0)), CFG)
+    fact.withColumnRenamed("row_id", "id").limit(0).write.saveAsTable("not_facts")
+    with pytest.raises(ValueError, match="not_facts is not a fact table"):
+        sinks.load_fact_table(fact, "not_facts")
+    assert spark.table("not_facts").count() == 0
+
+
 def test_audit_with_given_vectors_and_names(spark, corpus, tmp_path):
     vectors = precomputed_vectors(
         spark.range(1, 121).select(
