@@ -250,10 +250,12 @@ class _Forest:
         """The set of each member."""
         return self.root[self.of]
 
-    def merge(self, a: int, b: int) -> None:
-        """Join the sets of the members a and b."""
+    def merge(self, a: int, b: int) -> bool:
+        """Join the sets of the members a and b; False if they are one already."""
         x, y = self.root[self.of[a]], self.root[self.of[b]]
-        self.root[self.root == y] = x
+        if x != y:
+            self.root[self.root == y] = x
+        return x != y
 
 
 def _dealt(members: DataFrame, group: str, payload: DataFrame) -> DataFrame:
@@ -360,8 +362,7 @@ def _likely_bridges(members: DataFrame, known: DataFrame, plan: Sketch) -> DataF
                 equal, above, len(mine) - equal - above, np.full(len(other), float(size)), sizes[other], threshold
             )
             for j in other[keep].tolist():
-                if forest.sets()[i] != forest.sets()[j]:
-                    forest.merge(i, j)
+                if forest.merge(i, j):
                     found.append((doc, rows[j][0]))
         return found
 
@@ -395,8 +396,7 @@ def _links_between(docs: DataFrame, members: DataFrame, plan: Sketch) -> DataFra
             both = np.bincount(owner[np.repeat(begin, count) + step], minlength=len(right))
             link = both * 100 >= (len(mine) + sizes - both) * plan.percent
             for j in np.flatnonzero(link).tolist():
-                if forest.sets()[i] != forest.sets()[j]:
-                    forest.merge(i, j)
+                if forest.merge(i, j):
                     found.append((doc, rows[j][0]))
         return found
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rows of an Arrow batch; with texts of 100 KB each a batch is some 25 MB.
+# Rows and bytes of an Arrow batch, whichever is reached first.
 BATCH_ROWS = 256
+BATCH_BYTES = "32m"
 # A staged table of a few narrow columns is broadcast up to this many rows, some 20 MB.
 BROADCAST_ROWS = 200_000
 
@@ -19,8 +20,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bound the rows that cross to Python at once; texts can be long."""
+    """Bound what crosses to Python at once: texts can be long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def whole_text(name: str = "text") -> Column:
