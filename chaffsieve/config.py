@@ -44,7 +44,7 @@ class AuditConfig:
     # Rows a fit may use; None fits on all.  Only ever set it on purpose.
     fit_sample: int | None = None
     # Fits of a sweep that run at a time.
-    fit_threads: int = 4
+    fit_threads: int = 8
     embed_batch: int = 64
     # Buckets of hashed words.  Different words may share one; more buckets, fewer do.
     embed_dims: int = 1 << 16

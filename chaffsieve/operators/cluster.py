@@ -94,6 +94,8 @@ def _fit_all(
 ) -> list[tuple[int, KMeansModel]]:
     """All restarts for all ``ks``, a few at a time so that small steps overlap."""
 
+    points = _worth_a_task(points, max(ks))
+
     def fit(job: tuple[int, int]) -> tuple[int, KMeansModel]:
         k, restart = job
         return k, KMeans(k=k, seed=cfg.seed + restart, maxIter=cfg.kmeans_max_iter).fit(points)
@@ -103,6 +105,20 @@ def _fit_all(
         return list(pool.map(fit, jobs))
 
 
+def _worth_a_task(points: DataFrame, k: int) -> DataFrame:
+    """``points`` in no more partitions than pay off.
+
+    In every step a task sends back k dense centres, so its points should hold
+    more numbers than those.  Partitions grow with the points; fits of small
+    tables overlap instead.
+    """
+    vector = F.unwrap_udt("features")
+    dims = F.coalesce(vector["size"], F.size(vector["values"]))
+    found = points.agg(F.sum(F.size(vector["values"])).alias("numbers"), F.max(dims).alias("dims")).first()
+    worth = (found["numbers"] or 0) // (k * (found["dims"] or 1))
+    return points.coalesce(max(1, min(points.rdd.getNumPartitions(), worth)))
+
+
 def _cheapest(fits: list[tuple[int, KMeansModel]]) -> dict[int, KMeansModel]:
     """The fit of least cost per k; the earlier restart wins ties."""
     best: dict[int, KMeansModel] = {}

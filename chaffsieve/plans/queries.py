@@ -346,6 +346,11 @@ QUERIES: dict[str, Query] = {
     "near_duplicates_small_vocabulary": lambda s, d: _rounded(
         near_duplicates(enriched(s, d), SMALL_VOCABULARY)
     ),
+    "near_duplicates_whole_text": lambda s, d: _rounded(
+        near_duplicates(
+            stage(enrich(corpus.corpus_from_documents(s, d, whole=True), CFG), "whole-texts"), CFG
+        )
+    ),
     "near_duplicates_any_earlier": lambda s, d: _rounded(
         near_duplicates(enriched(s, d), CFG, rule="any_earlier")
     ),

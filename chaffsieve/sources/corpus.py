@@ -69,9 +69,11 @@ def _first_line(text: Column) -> Column:
     return F.substring_index(text, "\n", 1)
 
 
-def corpus_from_documents(spark: SparkSession, base: str, prefixed: bool = False) -> DataFrame:
-    """First line -> instruction, whole text -> output."""
-    line = _first_line(F.col("text"))
+def corpus_from_documents(
+    spark: SparkSession, base: str, prefixed: bool = False, whole: bool = False
+) -> DataFrame:
+    """First line, or the whole text -> instruction, whole text -> output."""
+    line = F.col("text") if whole else _first_line(F.col("text"))
     if prefixed:
         verbs = F.array(*[F.lit(v) for v in PREFIX_VERBS])
         pick = (F.length(line) % len(PREFIX_VERBS)) + 1

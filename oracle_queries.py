@@ -63,6 +63,12 @@ SELECT doc_id AS order_key, split_part(text, chr(10), 1) AS instruction, '' AS i
 FROM documents
 """
 
+DOCUMENTS_WHOLE = f"""
+SELECT doc_id AS order_key, text AS instruction, '' AS input, text AS output,
+       {LANG_CASE} AS cluster_id
+FROM documents
+"""
+
 DOCUMENTS_PREFIXED = f"""
 SELECT order_key,
        ([{lits(PREFIX_VERBS)}])[(length(instruction) % {len(PREFIX_VERBS)}) + 1]
@@ -357,6 +363,11 @@ def oracle_sql() -> dict[str, str]:
             f""", {near("cluster_id", k=SMALL_VOCABULARY.max_features)}
             SELECT row_id, duplicate_of, round(similarity, 6) AS similarity FROM near"""
         ),
+        "near_duplicates_whole_text": on_features(
+            f""", {near("cluster_id")}
+            SELECT row_id, duplicate_of, round(similarity, 6) AS similarity FROM near""",
+            DOCUMENTS_WHOLE,
+        ),
         "near_duplicates_any_earlier": on_features(
             f""", {near("cluster_id", "any_earlier")}
             SELECT row_id, duplicate_of, round(similarity, 6) AS similarity FROM near"""

@@ -109,7 +109,8 @@ def test_a_model_missing_on_the_workers_is_reported(spark, corpus, tmp_path):
 
 def test_finished_audits_are_renamed_and_flagged_again(spark, corpus, tmp_path):
     out = str(tmp_path / "audit")
-    first = audit(corpus.unionByName(corpus.limit(1).selectExpr("-1L AS order_key", "'123 456' AS instruction", "input", "output")), out, CFG, views=False)
+    wordless = corpus.limit(1).selectExpr("-1L AS order_key", "'123 456' AS instruction", "input", "output")
+    first = audit(corpus.unionByName(wordless), out, CFG, views=False)
     assert first.fact.filter("cluster_id = -1 AND cluster_label = 'unassigned'").count() == 1
     ids = [r[0] for r in first.fact.select("cluster_id").distinct().collect()]
     names = {i: f"topic {i}" for i in ids if i >= 0}
