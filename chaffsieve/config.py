@@ -78,6 +78,7 @@ class AuditConfig:
 
     # sizing limits: plans change beyond them, results do not
     broadcast_rows: int = 500_000
+    broadcast_bytes: int = 64 << 20  # as stored; some times that in memory
     hot_rows: int = 100_000
     topk_salts: int = 64
     signature_stop: int = 64

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chaffsieve.config import AuditConfig
+from chaffsieve.sources.staging import stored_bytes
 
 
 def _same(big: DataFrame, small: DataFrame, keys: list[str]):
@@ -31,12 +32,12 @@ def keyed_lookup(
     """Join ``big`` with a staged ``table`` that has one row per key.
 
     ``table[copies]`` says how many rows of ``big`` carry the key at most.
-    Up to ``broadcast_rows`` keys the table is broadcast.  Beyond that only
+    Up to ``broadcast_rows`` keys and ``broadcast_bytes`` the table is broadcast.  Beyond that only
     the hot keys are, of which there are at most rows / threshold, and the
     rest meets in a shuffle in which no key exceeds the threshold.  NULL keys
     match NULL keys.
     """
-    if table.count() <= cfg.broadcast_rows:
+    if table.count() <= cfg.broadcast_rows and stored_bytes(table) <= cfg.broadcast_bytes:
         return _join(big, F.broadcast(table.drop(copies)), keys, how)
 
     total = table.agg(F.sum(copies)).first()[0] or 0

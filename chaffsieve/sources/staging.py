@@ -51,6 +51,11 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_bytes(df: DataFrame) -> int:
+    """What the planner takes for the size of ``df``: of a staged table, its files."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+
+
 def shared(spark: SparkSession, key: tuple, build: Callable[[], DataFrame]) -> DataFrame:
     """What ``build`` makes, once per application until it is released."""
     key = (spark.conf.get("spark.app.id", ""), *key)

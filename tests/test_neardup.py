@@ -80,6 +80,7 @@ VARIANTS = {
     "split postings": replace(CFG, posting_block=3, signature_depth=1),
     "split, deep": replace(CFG, posting_block=2, signature_stop=1),
     "no broadcasts": replace(CFG, broadcast_rows=40, hot_rows=20, posting_block=5),
+    "no broadcast bytes": replace(CFG, broadcast_bytes=0, hot_rows=20),
     "all rows long": replace(CFG, inline_terms=0),
     "some rows long": replace(CFG, inline_terms=9, posting_block=4, signature_stop=2),
     "small vocabulary": replace(CFG, max_features=25, topk_salts=3),
