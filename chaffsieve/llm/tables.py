@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chaffsieve.sources.staging import stored_bytes
+
 # Rows and bytes of an Arrow batch, whichever is reached first.
 BATCH_ROWS = 256
 BATCH_BYTES = "32m"
-# A staged table of a few narrow columns is broadcast up to this many rows, some 20 MB.
+# A staged table is broadcast up to this many rows and stored bytes.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 16 << 20
 
 # A word is a run of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -38,10 +41,10 @@ def remainder(name: str, divisor: int) -> Column:
 def meet(big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Join with a staged table that has one row per key.
 
-    Counting a staged table reads file footers.  Up to BROADCAST_ROWS rows are
-    broadcast; beyond that both sides are shuffled plainly, so that adaptive
-    execution can split a hot key of the big side.
+    Counting a staged table reads file footers.  Up to BROADCAST_ROWS rows and
+    BROADCAST_BYTES are broadcast; beyond that both sides are shuffled
+    plainly, so that adaptive execution can split a hot key of the big side.
     """
-    if small.count() <= BROADCAST_ROWS:
+    if small.count() <= BROADCAST_ROWS and stored_bytes(small) <= BROADCAST_BYTES:
         return big.join(F.broadcast(small), keys, how)
     return big.join(small.hint("merge"), keys, how)
