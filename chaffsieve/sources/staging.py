@@ -53,7 +53,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
 def stored_bytes(df: DataFrame) -> int:
     """What the planner takes for the size of ``df``: of a staged table, its files."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def shared(spark: SparkSession, key: tuple, build: Callable[[], DataFrame]) -> DataFrame:
