@@ -191,7 +191,8 @@ def reflag(
 def store_views(fact: DataFrame, cfg: AuditConfig, prefix: str = "") -> list[str]:
     """The views as tables of the session's catalog, readable by name in later sessions.
 
-    ``prefix`` may name a database, with its dot.
+    ``prefix`` may name a database, with its dot; temporary views of a session
+    hide tables of the same name.
     """
     names = []
     for name, view in VIEWS.items():

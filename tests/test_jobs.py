@@ -126,8 +126,10 @@ def test_finished_audits_are_renamed_and_flagged_again(spark, corpus, tmp_path):
     for r in again.fact.collect():
         assert r["flag_too_short"] == 1
         assert (r["cluster_id"], r["duplicate_of"]) == (before[r["row_id"]]["cluster_id"], before[r["row_id"]]["duplicate_of"])
-    stored = store_views(again.fact, CFG)
-    assert len(stored) == 9 and spark.table("v_flag_prevalence").filter("flag_name = 'too_short'").first()["n"] == 121
+    stored = store_views(again.fact, CFG, "kept_")
+    assert len(stored) == 9
+    short = spark.table("kept_v_flag_prevalence").filter("flag_name = 'too_short'").first()
+    assert short["n"] == 121
 
 
 def test_keys_must_be_unique(spark, raw):
