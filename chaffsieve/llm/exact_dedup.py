@@ -229,30 +229,32 @@ def exact_groups(
 def drop_exact_copies(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of equal texts, all columns kept.
 
-    Survivors are picked by (doc_id, digest).  Where the table repeats a row,
-    one of the repeats stays; only such rows are sorted.
+    Rows are told apart by (doc_id, digest), and only those that go are looked
+    up, so texts do not move while copies are few.  Where the table repeats a
+    row, one of the repeats stays; only such rows are sorted.
     """
-    kept = exact_groups(docs).groupBy("doc_id", "text_sha256").agg(
+    rows = exact_groups(docs).groupBy("doc_id", "text_sha256").agg(
         F.max("kept").alias("kept"), F.count("*").alias("copies")
     )
-    kept = stage(
-        kept.filter("kept").select(
+    odd = stage(
+        rows.filter("NOT kept OR copies > 1").select(
             F.coalesce("doc_id", F.lit(NO_ID)).alias("__id"),
             F.col("text_sha256").alias("__sha"),
-            F.col("copies").alias("__copies"),
+            F.col("kept").alias("__kept"),
         ),
-        "survivors",
+        "copies",
     )
+    keys = ["__id", "__sha"]
     columns = [F.col(c) for c in docs.columns]
     marked = docs.select(
         "*",
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("__id"),
         F.sha2(whole_text().cast("binary"), 256).alias("__sha"),
     )
-    rows = meet(marked, kept, ["__id", "__sha"])
-    if not kept.filter("__copies > 1").take(1):
-        return rows.select(*columns)
-    first = Window.partitionBy("__id", "__sha").orderBy(F.monotonically_increasing_id())
-    repeated = rows.filter("__copies > 1").withColumn("__nth", F.row_number().over(first))
-    single = rows.filter("__copies = 1").select(*columns)
-    return single.unionByName(repeated.filter("__nth = 1").select(*columns))
+    single = meet(marked, odd, keys, "left_anti").select(*columns)
+    repeated = odd.filter("__kept")
+    if not repeated.take(1):
+        return single
+    first = Window.partitionBy(*keys).orderBy(F.monotonically_increasing_id())
+    some = meet(marked, repeated, keys).withColumn("__nth", F.row_number().over(first))
+    return single.unionByName(some.filter("__nth = 1").select(*columns))
