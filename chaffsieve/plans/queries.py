@@ -43,6 +43,15 @@ def enriched(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+def enriched_whole(spark: SparkSession, base: str) -> DataFrame:
+    """Documents alone, their whole texts as instructions."""
+    return shared(
+        spark,
+        (base, "enriched-whole"),
+        lambda: stage(enrich(corpus.corpus_from_documents(spark, base, whole=True), CFG), "whole-texts"),
+    )
+
+
 def fact(spark: SparkSession, base: str) -> DataFrame:
     def build() -> DataFrame:
         named = km.relabel_clusters(enriched(spark, base), CLUSTER_NAMES)
@@ -141,9 +150,9 @@ def _silhouette(spark: SparkSession, base: str) -> DataFrame:
     return spark.createDataFrame([(round(km.silhouette(members), 6),)], "silhouette double")
 
 
-def _exemplars(spark: SparkSession, base: str) -> DataFrame:
+def _exemplars(spark: SparkSession, base: str, whole: bool = False) -> DataFrame:
     members, centroids = _members(spark, base)
-    texts = corpus.corpus_from_documents(spark, base).select(
+    texts = corpus.corpus_from_documents(spark, base, whole=whole).select(
         F.col("order_key").alias("row_id"), "instruction"
     )
     # At small scales there are more vectors than documents.
@@ -180,8 +189,8 @@ def _sweep(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
-def _cluster_corpus(spark: SparkSession, base: str) -> DataFrame:
-    clustered, _ = km.cluster_corpus(enriched(spark, base), CFG)
+def _cluster_corpus(rows: DataFrame) -> DataFrame:
+    clustered, _ = km.cluster_corpus(rows, CFG)
     return clustered.select("row_id", (F.col("cluster_label") == "unassigned").alias("is_unassigned"))
 
 
@@ -202,13 +211,17 @@ def _row_id(spark: SparkSession, base: str) -> DataFrame:
     return dense_positions(keys, ["order_key"], "row_id").select("order_key", "row_id")
 
 
-def _exact(spark: SparkSession, base: str) -> DataFrame:
-    index = cl.index_rows(cl.clean(corpus.corpus_mixed(spark, base)))
+def _exact(raw: DataFrame) -> DataFrame:
+    index = cl.index_rows(cl.clean(raw))
     return index.select("row_id", "is_exact_duplicate")
 
 
-def _tfidf(spark: SparkSession, base: str) -> DataFrame:
-    return weighted_terms(enriched(spark, base), "cluster_id", CFG).select(
+def _exact_count(raw: DataFrame) -> DataFrame:
+    return _exact(raw).agg(F.sum("is_exact_duplicate").alias("exact_duplicates"))
+
+
+def _tfidf(rows: DataFrame) -> DataFrame:
+    return weighted_terms(rows, "cluster_id", CFG).select(
         F.col("group_key").alias("cluster_id"),
         "row_id",
         "term",
@@ -327,9 +340,13 @@ QUERIES: dict[str, Query] = {
     "cleaning_counts": lambda s, d: cl.cleaning_counts(corpus.corpus_mixed(s, d)),
     "limit_rows": _limit,
     "row_id": _row_id,
-    "exact_duplicates": _exact,
-    "exact_duplicate_count": lambda s, d: _exact(s, d).agg(
-        F.sum("is_exact_duplicate").alias("exact_duplicates")
+    "exact_duplicates": lambda s, d: _exact(corpus.corpus_mixed(s, d)),
+    "exact_duplicates_whole_text": lambda s, d: _exact(
+        corpus.corpus_from_documents(s, d, whole=True)
+    ),
+    "exact_duplicate_count": lambda s, d: _exact_count(corpus.corpus_mixed(s, d)),
+    "exact_duplicate_count_whole_text": lambda s, d: _exact_count(
+        corpus.corpus_from_documents(s, d, whole=True)
     ),
     "text_features": lambda s, d: _features(enrich(corpus.corpus_mixed(s, d), CFG)),
     "conversation_features": lambda s, d: _features(
@@ -341,15 +358,23 @@ QUERIES: dict[str, Query] = {
     ),
     "rule_category": lambda s, d: enriched(s, d).select("row_id", "prompt_type_rule"),
     "rule_baseline": lambda s, d: ql.rule_baseline(enriched(s, d)),
-    "tfidf_weights": _tfidf,
+    "tfidf_weights": lambda s, d: _tfidf(enriched(s, d)),
+    "tfidf_weights_whole_text": lambda s, d: _tfidf(enriched_whole(s, d)),
     "near_duplicates": lambda s, d: _rounded(near_duplicates(enriched(s, d), CFG)),
     "near_duplicates_small_vocabulary": lambda s, d: _rounded(
         near_duplicates(enriched(s, d), SMALL_VOCABULARY)
     ),
     "near_duplicates_whole_text": lambda s, d: _rounded(
-        near_duplicates(
-            stage(enrich(corpus.corpus_from_documents(s, d, whole=True), CFG), "whole-texts"), CFG
-        )
+        near_duplicates(enriched_whole(s, d), CFG)
+    ),
+    "near_duplicates_small_vocabulary_whole_text": lambda s, d: _rounded(
+        near_duplicates(enriched_whole(s, d), SMALL_VOCABULARY)
+    ),
+    "near_duplicates_any_earlier_whole_text": lambda s, d: _rounded(
+        near_duplicates(enriched_whole(s, d), CFG, rule="any_earlier")
+    ),
+    "near_duplicates_by_rule_whole_text": lambda s, d: _rounded(
+        near_duplicates(enriched_whole(s, d), CFG, group="prompt_type_rule")
     ),
     "near_duplicates_any_earlier": lambda s, d: _rounded(
         near_duplicates(enriched(s, d), CFG, rule="any_earlier")
@@ -387,7 +412,9 @@ QUERIES: dict[str, Query] = {
     ),
     "silhouette": _silhouette,
     "cluster_exemplars": _exemplars,
+    "cluster_exemplars_whole_text": lambda s, d: _exemplars(s, d, whole=True),
     "fit_kmeans": _fit,
     "sweep_k": _sweep,
-    "cluster_corpus": _cluster_corpus,
+    "cluster_corpus": lambda s, d: _cluster_corpus(enriched(s, d)),
+    "cluster_corpus_whole_text": lambda s, d: _cluster_corpus(enriched_whole(s, d)),
 }

@@ -539,6 +539,35 @@ def oracle_sql() -> dict[str, str]:
                       AS position FROM nearest JOIN documents ON doc_id = row_id)
             WHERE position <= {CFG.exemplars}""",
     }
+    near_columns = "SELECT row_id, duplicate_of, round(similarity, 6) AS similarity FROM near"
+    sql |= {
+        "exact_duplicates_whole_text": f"""WITH {cleaned(DOCUMENTS_WHOLE)}
+            SELECT row_id, is_exact_duplicate FROM cleaned""",
+        "exact_duplicate_count_whole_text": f"""WITH {cleaned(DOCUMENTS_WHOLE)}
+            SELECT sum(is_exact_duplicate)::BIGINT AS exact_duplicates FROM cleaned""",
+        "tfidf_weights_whole_text": on_features(
+            f""", {tfidf("cluster_id")}
+            SELECT g AS cluster_id, row_id, term, tf, round(w, 6) AS weight FROM weights""",
+            DOCUMENTS_WHOLE,
+        ),
+        "near_duplicates_small_vocabulary_whole_text": on_features(
+            f", {near('cluster_id', k=SMALL_VOCABULARY.max_features)} {near_columns}", DOCUMENTS_WHOLE
+        ),
+        "near_duplicates_any_earlier_whole_text": on_features(
+            f", {near('cluster_id', 'any_earlier')} {near_columns}", DOCUMENTS_WHOLE
+        ),
+        "near_duplicates_by_rule_whole_text": on_features(
+            f", {near('prompt_type_rule')} {near_columns}", DOCUMENTS_WHOLE
+        ),
+        "cluster_exemplars_whole_text": CENTROIDS
+        + f"""SELECT cluster_id, position, left(text, {CFG.exemplar_chars}) AS exemplar
+            FROM (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY gap, row_id)
+                      AS position FROM nearest JOIN documents ON doc_id = row_id)
+            WHERE position <= {CFG.exemplars}""",
+        "cluster_corpus_whole_text": on_features(
+            "SELECT row_id, instruction_clean = '' AS is_unassigned FROM featured", DOCUMENTS_WHOLE
+        ),
+    }
     views = [v for v in sql if v.startswith("v_")]
     selects = {v: sql[v].removeprefix(FACT_CTES) for v in views}
     sql |= {
