@@ -16,6 +16,8 @@ is one row per host or edge.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import count
+from math import ceil, log
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +27,6 @@ from chaffsieve.sources.staging import stage
 
 DAMPING = 0.85
 TOLERANCE = 1e-3  # of the seed mass that may still move in a step
-MAX_STEPS = 60
 STEPS_PER_TABLE = 5  # joins between two written tables
 THRESHOLD = 1.0  # distrust per trust from which a host is blocked
 
@@ -121,7 +122,9 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING) -> D
 
     Trust walks along links, distrust against them; what reaches a host
     without a way on is dropped, so the sums never exceed the seeds.  Steps
-    repeat until less than TOLERANCE of the seed mass is on the move.
+    repeat until every host that can be reached has been, and as often as
+    damping needs to bring any mass down to TOLERANCE of itself.  Neither looks
+    at sums over all hosts, so seeds elsewhere do not end a walk early.
     """
     ways = edges.select("source", "target", "links", F.lit("trust").alias("kind")).union(
         edges.select(F.col("target"), F.col("source"), "links", F.lit("distrust"))
@@ -137,12 +140,13 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING) -> D
     start = seeds.select("host", F.lit("trust").alias("kind"), F.col("allowed").cast("double").alias("mass"))
     start = start.union(seeds.select("host", F.lit("distrust"), F.col("blocked").cast("double")))
     start = stage(start.filter("mass > 0"), "seeds")
-    total = start.agg(F.sum("mass")).first()[0] or 0.0
+    steps = ceil(log(TOLERANCE) / log(damping))
+    reached = start.count()
 
     # The walk as a sum over its length: each step moves a shrinking mass on.
     moving = start
     arrived = [start.withColumn("mass", F.col("mass") * (1 - damping))]
-    for at in range(MAX_STEPS):
+    for at in count():
         moving = (
             moving.join(ways, ["host", "kind"])
             .groupBy(F.col("target").alias("host"), "kind")
@@ -150,14 +154,15 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING) -> D
         )
         if at % STEPS_PER_TABLE == STEPS_PER_TABLE - 1:
             moving = stage(moving, "moving")
-            left = moving.agg(F.sum("mass")).first()[0] or 0.0
         arrived.append(moving.withColumn("mass", F.col("mass") * (1 - damping)))
         if at % STEPS_PER_TABLE == STEPS_PER_TABLE - 1:
             together = arrived[0]
             for more in arrived[1:]:
                 together = together.unionByName(more)
             arrived = [stage(together.groupBy("host", "kind").agg(F.sum("mass").alias("mass")), "arrived")]
-            if left <= TOLERANCE * total:
+            # Hosts are reached in order of distance: none within a table's steps, none later.
+            before, reached = reached, arrived[0].count()
+            if moving.isEmpty() or (at + 1 >= steps and reached == before):
                 break
     together = arrived[0]
     for more in arrived[1:]:

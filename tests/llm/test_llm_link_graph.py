@@ -101,3 +101,20 @@ def test_odd_rows(spark):
     assert len(found) == len(rows)
     assert [(r["host"], r["verdict"]) for r in found if r["page_id"] is None] == [("", "allow")]
     assert judge(pages.limit(0), RULES).collect() == []
+
+
+def test_seeds_elsewhere_change_no_verdict(spark):
+    from pyspark.sql import functions as F
+
+    chain = [(i, f"http://spam.com/de/{i}", "") for i in range(20)]
+    chain += [
+        (100 + i, f"http://h{i}.net/", f'<a href="http://{f"h{i - 1}.net" if i > 1 else "spam.com"}/">')
+        for i in range(1, 11)
+    ]
+    i = F.col("id")
+    apart = spark.range(10_000).select(
+        (i + 1000).alias("page_id"), F.concat(F.lit("http://x"), i, F.lit(".org/")).alias("url"), F.lit("").alias("html")
+    )
+    pages = spark.createDataFrame(chain, PAGES).union(apart)
+    found = judge(pages, RULES).filter("page_id < 1000").collect()
+    assert {r["page_id"] for r in found if r["verdict"] == "block"} == {i for i, _, _ in chain}
