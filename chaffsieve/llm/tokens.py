@@ -1,10 +1,13 @@
-"""Token ids of whole texts by a byte-level BPE vocabulary, many documents at once.
-
-The vocabulary's pattern never joins a letter, digit or sign to a following
-space, so a text can be cut before every single space between two visible
-characters, and each cut segment has its ids whatever surrounds it.  Segments
-repeat often: they are found on the UTF-8 buffer by hash, compared byte by
-byte, and only unseen ones are encoded.
+"""Token ids of whole texts by a BPE vocabulary, many documents at once.
+
+The byte-level vocabulary's pattern never joins a letter, digit or sign to a
+following space, so a text can be cut before every single space between two
+visible characters, and each cut segment has its ids whatever surrounds it.
+The vocabulary with word ends drops white space, so its words are segments.
+Segments repeat often: they are found on the UTF-8 buffer by hash, compared
+byte by byte, and only unseen ones are encoded.  Added tokens of a vocabulary
+hold no space; where a text spells one out it gets that token's id, as the
+vocabulary says.
 """
 
 from __future__ import annotations
@@ -16,9 +19,10 @@ from functools import cache
 
 import numpy as np
 
-from chaffsieve.llm.text64 import hash_words
+from chaffsieve.llm.text64 import hash_words, word_bounds
 
 VOCABULARY = "byte_bpe_50k"
+WORD_VOCABULARY = "word_bpe_49k"
 SLICE = 1 << 21  # bytes handled at once
 CACHED = 300_000  # segments a worker remembers, some 60 MB
 
@@ -33,6 +37,12 @@ def vocabulary_paths(name: str = VOCABULARY) -> tuple[str, str]:
     return public_tokenizers.path(f"{name}.json"), public_tokenizers.path(f"{name}.tiktoken")
 
 
+def word_vocabulary_path(name: str = WORD_VOCABULARY) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(f"{name}.json")
+
+
 @cache
 def _encoders(definition: str, ranks: str):
     import public_tokenizers
@@ -40,7 +50,6 @@ def _encoders(definition: str, ranks: str):
     from tokenizers import Tokenizer
 
     exact = Tokenizer.from_file(definition)
-    exact.encode_special_tokens = True  # their strings in a text are ordinary text
     with open(ranks, "rb") as lines:
         table = {base64.b64decode(t): int(i) for t, i in map(bytes.split, lines)}
     fast = tiktoken.Encoding(
@@ -76,43 +85,54 @@ class Ids:
 
     def __init__(self, definition: str, ranks: str):
         self.exact, self.fast = _encoders(definition, ranks)
+        added = (t.content for t in self.exact.get_added_tokens_decoder().values())
+        self.not_fast = re.compile("|".join([_BEYOND_LATIN.pattern, *map(re.escape, added)]))
         self.known: dict[bytes, bytes] = {}
 
     def segment(self, raw: bytes) -> bytes:
         text = raw.decode("utf-8", "replace")
-        if _BEYOND_LATIN.search(text):
+        if self.not_fast.search(text):
             ids = self.exact.encode(text, add_special_tokens=False).ids
         else:
             ids = self.fast.encode_ordinary(text)
         return np.array(ids, "<u4").tobytes()
 
-    def _slice(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def segments(self, raws: list[bytes]) -> list[bytes]:
+        """The ids of some segments, each as bytes."""
+        return [self.segment(raw) for raw in raws]
+
+    def bounds(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where segments start and end."""
+        starts = _cuts(data, offsets)
+        return starts, np.append(starts[1:], len(data))
+
+    def _slice(
+        self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the segments of ``data``, and where each segment's begin (one entry more)."""
-        ends = np.append(starts[1:], len(data))
         keys, where, inverse = np.unique(
             hash_words(data, starts, ends, lower=False), return_index=True, return_inverse=True
         )
         # Equal hashes must mean equal bytes: compare every segment with the first of its key.
         lengths = ends - starts
         first = starts[where][inverse]
+        own = np.repeat(starts - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
         shift = np.repeat(first - starts, lengths)
         same = np.array_equal(lengths, lengths[where][inverse]) and np.array_equal(
-            data[np.arange(len(data)) + shift], data
+            data[own + shift], data[own]
         )
         if not same:
             where, inverse = np.arange(len(starts)), np.arange(len(starts))
         if len(self.known) > CACHED:
             self.known.clear()
         blob, known = data.tobytes(), self.known
-        found = []
-        for a, b in zip(starts[where].tolist(), ends[where].tolist()):
-            raw = blob[a:b]
-            ids = known.get(raw)
-            if ids is None:
-                ids = self.segment(raw)
-                if b - a <= 256:
-                    known[raw] = ids
-            found.append(ids)
+        raws = [blob[a:b] for a, b in zip(starts[where].tolist(), ends[where].tolist())]
+        found = [known.get(raw) for raw in raws]
+        unseen = [i for i, ids in enumerate(found) if ids is None]
+        for i, ids in zip(unseen, self.segments([raws[i] for i in unseen])):
+            found[i] = ids
+            if len(raws[i]) <= 256:
+                known[raws[i]] = ids
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
         flat = np.frombuffer(b"".join(found), "<u4")
         begins = np.cumsum(sizes) - sizes
@@ -123,13 +143,14 @@ class Ids:
 
     def documents(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
         """The ids of each document, in order."""
-        starts = _cuts(data, offsets)
+        starts, ends = self.bounds(data, offsets)
         parts: list[np.ndarray] = []
         doc, at = 0, 0
         while at < len(starts):
             stop = max(at + 1, int(np.searchsorted(starts, starts[at] + SLICE, "right")) - 1)
             end = int(starts[stop]) if stop < len(starts) else len(data)
-            ids, begins = self._slice(data[starts[at] : end], starts[at:stop] - starts[at])
+            first = starts[at]
+            ids, begins = self._slice(data[first:end], starts[at:stop] - first, ends[at:stop] - first)
             here = starts[at:stop]
             while doc < len(offsets) - 1 and offsets[doc] < end:
                 lo = begins[np.searchsorted(here, offsets[doc])] if offsets[doc] >= here[0] else 0
@@ -143,3 +164,49 @@ class Ids:
         for _ in range(doc, len(offsets) - 1):
             yield np.concatenate(parts) if parts else np.empty(0, "<u4")
             parts = []
+
+
+def _letter_before(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether the character that ends before each place is a letter: ASCII or of Latin-1."""
+    before, two = data[at - 1], data[np.maximum(at - 2, 0)]
+    low = before | 32
+    ascii_letter = (low >= 97) & (low <= 122) & (before < 128)
+    return ascii_letter | ((two == 0xC3) & (before >= 0x80) & (before < 0xC0) & (before != 0x97) & (before != 0xB7))
+
+
+class WordIds(Ids):
+    """Ids by the vocabulary with word ends, which lower-cases and drops white space.
+
+    No token reaches across ASCII white space, nor from a letter to one of
+    .,;:!? that follows it, and no normalisation does, so segments end there.
+    """
+
+    def __init__(self, definition: str):
+        from tokenizers import Tokenizer
+
+        self.exact = Tokenizer.from_file(definition)
+        self.known = {}
+
+    def bounds(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        starts, ends, _ = word_bounds(data, offsets)
+        mark = np.flatnonzero(_STOPS[data]) if len(data) else np.empty(0, np.int64)
+        mark = mark[(mark > 0) & ~np.isin(mark, starts, assume_unique=True)]
+        mark = mark[_letter_before(data, mark)]
+        return np.sort(np.concatenate((starts, mark))), np.sort(np.concatenate((ends, mark)))
+
+    def segments(self, raws: list[bytes]) -> list[bytes]:
+        """All in one call: tokens belong to the segment in which they start."""
+        if not raws:
+            return []
+        texts = [raw.decode("utf-8", "replace") for raw in raws]
+        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+        starts = np.cumsum(lengths + 1) - lengths - 1
+        found = self.exact.encode(" ".join(texts), add_special_tokens=False)
+        ids = np.array(found.ids, "<u4")
+        at = np.fromiter((a for a, _ in found.offsets), np.int64, len(ids))
+        edges = np.append(np.searchsorted(at, starts), len(ids)).tolist()
+        return [ids[a:b].tobytes() for a, b in zip(edges, edges[1:])]
+
+
+_STOPS = np.zeros(256, bool)
+_STOPS[np.frombuffer(b".,;:!?", np.uint8)] = True
