@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chaffsieve.llm import chat, exact_dedup, hnsw, language, link_graph, mixing, near_dedup, packing, pii, quality
+from chaffsieve.llm import (
+    chat,
+    collocations,
+    exact_dedup,
+    hnsw,
+    language,
+    link_graph,
+    mixing,
+    near_dedup,
+    packing,
+    pii,
+    prefix_trie,
+    quality,
+    token_files,
+)
 from chaffsieve.llm.tables import remainder, table
 
 # A document is predicted good from this score on.
@@ -174,6 +188,120 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(least, doc_id) AS componen
 FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN smallest USING (doc_id)
 """
 
+
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nodes of the prefix trie of all conversations, rebuilt so that some begin alike."""
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+OP11_SQL = r"""
+WITH turns AS (
+    SELECT conv_id,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, item) AS place, item, bytes
+    FROM (SELECT conv_id, turn, coalesce(role, '') AS role,
+                 md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS item,
+                 strlen(coalesce(text, '')) AS bytes
+          FROM conversations WHERE conv_id IS NOT NULL)
+), members AS (
+    SELECT conv_id, conv_id - conv_id % 5 AS base,
+           xor(list_reduce(
+               list_concat([4294967295], list_transform(string_split(conv_id::VARCHAR, ''), lambda d: ord(d)::BIGINT)),
+               lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], range(8)),
+                   lambda x, bit: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)),
+               4294967295) % 9 AS h
+    FROM (SELECT DISTINCT conv_id FROM turns)
+), rebuilt AS (
+    SELECT members.conv_id, 0 AS part, place, item, bytes
+    FROM members JOIN turns ON turns.conv_id = base AND place <= h
+    UNION ALL
+    SELECT members.conv_id, 1, place, item, bytes
+    FROM members JOIN turns ON turns.conv_id = members.conv_id AND place > h
+), sequences AS (
+    SELECT conv_id,
+           coalesce(list(item ORDER BY part, place) FILTER (item IS NOT NULL), []) AS items,
+           coalesce(list(bytes ORDER BY part, place) FILTER (item IS NOT NULL), []) AS sizes
+    FROM members LEFT JOIN rebuilt USING (conv_id) GROUP BY conv_id
+), prefixes AS (
+    SELECT conv_id, items, sizes, unnest(range(len(items) + 1)) AS depth FROM sequences
+), nodes AS (
+    SELECT array_to_string(items[1:depth], '') AS path, depth::BIGINT AS depth,
+           min(conv_id) AS conv_id, count(*) AS n_convs, any_value(coalesce(sizes[depth], 0)) AS bytes,
+           sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(items) = depth), ''))
+               AS ends_sha256
+    FROM prefixes GROUP BY path, depth
+), children AS (
+    SELECT left(path, 32 * (depth - 1)) AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL
+), below AS (
+    SELECT top.path, sum((node.n_convs - 1) * node.bytes)::BIGINT AS saved_tokens,
+           count(*) FILTER (children.path IS NULL) AS n_leaves
+    FROM nodes AS top JOIN nodes AS node ON starts_with(node.path, top.path)
+    LEFT JOIN children ON children.path = node.path
+    GROUP BY top.path
+)
+SELECT nodes.conv_id, nodes.depth, parent.conv_id AS parent_conv_id, nodes.n_convs,
+       coalesce(n_children, 0)::BIGINT AS n_children, n_leaves, saved_tokens, nodes.ends_sha256
+FROM nodes JOIN below ON below.path = nodes.path
+LEFT JOIN children ON children.path = nodes.path
+LEFT JOIN nodes AS parent ON nodes.depth > 0 AND parent.path = left(nodes.path, 32 * (nodes.depth - 1))
+"""
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's 2,000 best phrases of two or three words."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), worded AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), windows AS (
+    SELECT lang, w[i] AS w1, w[i + 1] AS w2, w[i + 2] AS w3
+    FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM worded)
+), counted AS (
+    SELECT lang, w1, w2, w3, count(*) AS f, grouping(w2, w3) AS level
+    FROM windows GROUP BY GROUPING SETS ((lang, w1, w2, w3), (lang, w1, w2), (lang, w1))
+), one AS (SELECT lang, w1, f FROM counted WHERE level = 3
+), two AS (SELECT lang, w1, w2, f FROM counted WHERE level = 1 AND w2 IS NOT NULL
+), three AS (SELECT lang, w1, w2, w3, f FROM counted WHERE level = 0 AND w3 IS NOT NULL AND f >= 10
+), sizes AS (SELECT lang, sum(f)::BIGINT AS n FROM one GROUP BY lang
+), around AS (
+    SELECT lang, w1, w2, max(f) AS longer FROM (
+        SELECT lang, w1, w2, f FROM three UNION ALL SELECT lang, w2, w3, f FROM three) GROUP BY ALL
+), cuts AS (
+    SELECT two.lang, two.w1 || ' ' || two.w2 AS phrase, two.f AS a, 1 AS k, x.f AS l, y.f AS r
+    FROM two JOIN one x ON x.lang = two.lang AND x.w1 = two.w1
+    JOIN one y ON y.lang = two.lang AND y.w1 = two.w2
+    LEFT JOIN around ON around.lang = two.lang AND around.w1 = two.w1 AND around.w2 = two.w2
+    WHERE two.f >= 10 AND (longer IS NULL OR 100 * longer < 50 * two.f)
+    UNION ALL
+    SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, t.f, 1, x.f, y.f
+    FROM three t JOIN one x ON x.lang = t.lang AND x.w1 = t.w1
+    JOIN two y ON y.lang = t.lang AND y.w1 = t.w2 AND y.w2 = t.w3
+    UNION ALL
+    SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, t.f, 2, x.f, y.f
+    FROM three t JOIN two x ON x.lang = t.lang AND x.w1 = t.w1 AND x.w2 = t.w2
+    JOIN one y ON y.lang = t.lang AND y.w1 = t.w3
+), scored AS (
+    SELECT *, (1000000::HUGEINT * a * a // (l::HUGEINT * r))::BIGINT AS score FROM cuts
+), lowest AS (
+    SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)::INT AS rank FROM lowest)
+JOIN sizes USING (lang) WHERE rank <= 2000
+"""
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, written to files of seekable frames and read back."""
+    return token_files.written_and_read(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_mix_sources": op2_mix_sources,
@@ -185,9 +313,14 @@ QUERIES = {
     "op8_pack": op8_pack,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_near_dedup": op10_near_dedup,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_collocations": op12_collocations,
+    "op13_token_files": op13_token_files,
 }
 ORACLE_SQL = {
     "op2_mix_sources": OP2_SQL,
     "op9_exact_dedup": OP9_SQL,
     "op10_near_dedup": OP10_SQL,
+    "op11_prefix_trie": OP11_SQL,
+    "op12_collocations": OP12_SQL,
 }
