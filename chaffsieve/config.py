@@ -43,8 +43,14 @@ class AuditConfig:
     kmeans_max_iter: int = 300
     # Rows a fit may use; None fits on all.  Only ever set it on purpose.
     fit_sample: int | None = None
-    # Fits of a sweep that run at a time.
-    fit_threads: int = 8
+    # A fit ends when no centre moves farther.
+    kmeans_tolerance: float = 1e-4
+    # Seeds are drawn from about seed_factor * k points in each of seed_rounds rounds.
+    seed_factor: int = 4
+    seed_rounds: int = 5
+    # Vectors wider than this are folded to fold_dims coordinates before a fit.
+    fold_above: int = 4096
+    fold_dims: int = 512
     embed_batch: int = 64
     # Buckets of hashed words.  Different words may share one; more buckets, fewer do.
     embed_dims: int = 1 << 16
@@ -79,6 +85,7 @@ class AuditConfig:
     # sizing limits: plans change beyond them, results do not
     broadcast_rows: int = 500_000
     broadcast_bytes: int = 64 << 20  # as stored; some times that in memory
+    centroid_bytes: int = 64 << 20
     hot_rows: int = 100_000
     topk_salts: int = 64
     signature_stop: int = 64

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from chaffsieve.config import AuditConfig
@@ -30,6 +30,24 @@ def cleaning_counts(raw: DataFrame) -> DataFrame:
     )
 
 
+def counted(raw: DataFrame) -> tuple[DataFrame, Observation]:
+    """``raw``, and what ``cleaning_counts`` says of it once an action has read it: no scan of its own.
+
+    The counts are those of the first action that reads the frame to its end.
+    """
+    seen = Observation()
+    kept = (fx.clean_text(F.col("instruction")) != "") & (fx.clean_text(F.col("output")) != "")
+    return (
+        raw.observe(
+            seen,
+            F.count(F.lit(1)).alias("rows_read"),
+            F.count_if(kept).alias("rows_kept"),
+            F.count_if(~kept).alias("rows_dropped"),
+        ),
+        seen,
+    )
+
+
 def check_keys(df: DataFrame, key: str) -> None:
     """Refuse NULL and repeated keys: a join on them would lose or multiply rows."""
     seen = df.agg(
@@ -40,6 +58,12 @@ def check_keys(df: DataFrame, key: str) -> None:
         raise ValueError(f"{key} must be unique: {empty} rows without one, {repeated} rows repeat one")
 
 
+def pair_digest() -> Column:
+    """What equal pairs of instruction and input share, and different ones do not."""
+    whole = F.concat_ws(":", F.length("instruction").cast("string"), F.col("instruction"), F.col("input_text"))
+    return F.unhex(F.sha2(whole, 256))
+
+
 def index_rows(cleaned: DataFrame) -> DataFrame:
     """(order_key, row_id, is_exact_duplicate) for every cleaned row.
 
@@ -48,15 +72,9 @@ def index_rows(cleaned: DataFrame) -> DataFrame:
     combines before it shuffles, and copies are the rows that are not the
     first of their pair: a join on a unique key, whatever a pair's share.
     """
-    pair = F.sha2(
-        F.concat_ws(
-            ":", F.length("instruction").cast("string"), F.col("instruction"), F.col("input_text")
-        ),
-        256,
-    )
     # Staged narrow, so that the texts are read once and the range sampling
     # below looks at keys only.
-    pairs = stage(cleaned.select("order_key", F.unhex(pair).alias("pair")), "pairs")
+    pairs = stage(cleaned.select("order_key", pair_digest().alias("pair")), "pairs")
     check_keys(pairs, "order_key")
     firsts = (
         pairs.groupBy("pair")

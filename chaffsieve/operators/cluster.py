@@ -3,12 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import IDF, HashingTF, Normalizer
 from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
@@ -19,6 +17,7 @@ from pyspark.sql import types as T
 
 from chaffsieve.config import AuditConfig
 from chaffsieve.functions.text import preview
+from chaffsieve.operators.kmeans import Model, dense_rows, fit_many, fold, products
 from chaffsieve.operators.lookup import keyed_lookup, top_k_per_group
 from chaffsieve.operators.sample import sample_rows
 from chaffsieve.sources.staging import stage
@@ -27,7 +26,7 @@ UNASSIGNED = -1
 
 UNASSIGNED_LABEL = "unassigned"
 
-# Numbers a task holds while it compares vectors with centroids, some 8 MB.
+# Products a task holds while it compares vectors with centroids, some 8 MB.
 _BLOCK = 1 << 20
 
 
@@ -84,48 +83,10 @@ def _nonzero() -> Column:
 # ---- fits ------------------------------------------------------------------
 
 
-def fit_kmeans(points: DataFrame, k: int, cfg: AuditConfig) -> KMeansModel:
+def fit_kmeans(points: DataFrame, k: int, cfg: AuditConfig) -> Model:
     """The cheapest of ``restarts`` fits, each run until it converges."""
-    return _cheapest(_fit_all(points, [k], cfg))[k]
-
-
-def _fit_all(
-    points: DataFrame, ks: Iterable[int], cfg: AuditConfig
-) -> list[tuple[int, KMeansModel]]:
-    """All restarts for all ``ks``, a few at a time so that small steps overlap."""
-
-    points = _worth_a_task(points, max(ks))
-
-    def fit(job: tuple[int, int]) -> tuple[int, KMeansModel]:
-        k, restart = job
-        return k, KMeans(k=k, seed=cfg.seed + restart, maxIter=cfg.kmeans_max_iter).fit(points)
-
-    jobs = [(k, r) for k in ks for r in range(cfg.restarts)]
-    with ThreadPoolExecutor(cfg.fit_threads) as pool:
-        return list(pool.map(fit, jobs))
-
-
-def _worth_a_task(points: DataFrame, k: int) -> DataFrame:
-    """``points`` in no more partitions than pay off.
-
-    In every step a task sends back k dense centres, so its points should hold
-    more numbers than those.  Partitions grow with the points; fits of small
-    tables overlap instead.
-    """
-    vector = F.unwrap_udt("features")
-    dims = F.coalesce(vector["size"], F.size(vector["values"]))
-    found = points.agg(F.sum(F.size(vector["values"])).alias("numbers"), F.max(dims).alias("dims")).first()
-    worth = (found["numbers"] or 0) // (k * (found["dims"] or 1))
-    return points.coalesce(max(1, min(points.rdd.getNumPartitions(), worth)))
-
-
-def _cheapest(fits: list[tuple[int, KMeansModel]]) -> dict[int, KMeansModel]:
-    """The fit of least cost per k; the earlier restart wins ties."""
-    best: dict[int, KMeansModel] = {}
-    for k, model in fits:
-        if k not in best or model.summary.trainingCost < best[k].summary.trainingCost:
-            best[k] = model
-    return best
+    models, _ = fit_many(points, [(k, r) for r in range(cfg.restarts)], cfg)
+    return min(models, key=lambda m: m.cost)  # the first of equally cheap ones
 
 
 def silhouette(assigned: DataFrame, cluster: str = "cluster_id") -> float:
@@ -137,25 +98,36 @@ def silhouette(assigned: DataFrame, cluster: str = "cluster_id") -> float:
 
 def sweep_k(
     points: DataFrame, cfg: AuditConfig, ks: Iterable[int] | None = None
-) -> tuple[int, KMeansModel, DataFrame]:
-    """(best k, its model, frame of (k, silhouette)); the smaller k wins ties."""
-    models = _cheapest(_fit_all(points, list(ks or range(cfg.k_min, cfg.k_max + 1)), cfg))
-    with ThreadPoolExecutor(cfg.fit_threads) as pool:
-        found = pool.map(lambda k: (k, silhouette(assign(points, models[k]))), models)
-        scores = dict(found)
-    best = max(sorted(scores), key=scores.get)
+) -> tuple[int, Model, DataFrame]:
+    """(best k, its model, frame of (k, silhouette)); the smaller k wins ties.
+
+    All restarts of all ``ks`` advance in the same scans.  A k beyond the
+    number of different points counts as that number; with fewer than two
+    clusters there is nothing to compare, and the frame is empty.
+    """
+    jobs = [(k, r) for k in ks or range(cfg.k_min, cfg.k_max + 1) for r in range(cfg.restarts)]
+    models, scores = fit_many(points, jobs, cfg)
+    best: dict[int, tuple[float, Model]] = {}
+    for model, score in zip(models, scores):
+        k = len(model.centers)
+        if score is not None and (k not in best or score > best[k][0]):
+            best[k] = (score, model)
     frame = points.sparkSession.createDataFrame(
-        sorted(scores.items()), "k int, silhouette double"
+        [(k, score) for k, (score, _) in sorted(best.items())], "k int, silhouette double"
     )
-    return best, models[best], frame
+    if not best:
+        return 1, models[0], frame
+    k = max(sorted(best), key=lambda k: best[k][0])
+    return k, best[k][1], frame
 
 
 # ---- assignment ------------------------------------------------------------
 
 
-def assign(points: DataFrame, model: KMeansModel) -> DataFrame:
-    out = model.transform(points.select("row_id", "features"))
-    return out.withColumnRenamed("prediction", "cluster_id")
+def assign(points: DataFrame, model: Model) -> DataFrame:
+    """``points`` (row_id, features) with the cluster_id of their nearest centre."""
+    found = _nearest(np.arange(len(model.centers), dtype=np.int32), model.centers)
+    return points.select("row_id", "features", found(F.unwrap_udt("features"))["cluster_id"].alias("cluster_id"))
 
 
 def centroids_of(points: DataFrame, cluster: str = "cluster_id") -> DataFrame:
@@ -166,42 +138,69 @@ def centroids_of(points: DataFrame, cluster: str = "cluster_id") -> DataFrame:
     )
 
 
-def centroid_table(model: KMeansModel, spark) -> DataFrame:
+def centroid_table(model: Model, spark) -> DataFrame:
     """One row per cluster, empty ones included."""
-    rows = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
+    rows = [(i, [float(x) for x in c]) for i, c in enumerate(model.centers)]
     return spark.createDataFrame(rows, "cluster_id int, centroid array<double>")
 
 
-def assign_to_centroids(points: DataFrame, centroids: DataFrame) -> DataFrame:
+def _nearest(ids: np.ndarray, centers: np.ndarray) -> Callable[[Column], Column]:
+    """(cluster_id, distance) of the nearest of some centres, for an unwrapped vector column."""
+    squares = (centers * centers).sum(axis=1)
+
+    @F.arrow_udf("cluster_id int, distance double")
+    def nearest(vectors: pa.Array) -> pa.Array:
+        best = np.zeros(len(vectors), np.int64)
+        gap = np.zeros(len(vectors))
+        step = max(1, _BLOCK // len(centers))
+        for at in range(0, len(vectors), step):
+            part = vectors.slice(at, step)
+            along, lengths = products(part, centers)
+            near = (squares - 2 * along).argmin(axis=1)
+            rows = np.arange(len(near))
+            best[at : at + step] = near
+            gap[at : at + step] = lengths + squares[near] - 2 * along[rows, near]
+        # What is nearly nothing may be rounding: taken again, coordinate by coordinate.
+        close = np.flatnonzero(gap < 1e-6 * (1 + squares[best]))
+        for i in range(0, len(close), 1024):
+            some = close[i : i + 1024]
+            x = dense_rows(vectors.take(pa.array(some)))
+            x = np.pad(x, ((0, 0), (0, centers.shape[1] - x.shape[1])))
+            gap[some] = ((x - centers[best[some]]) ** 2).sum(axis=1)
+        return pa.StructArray.from_arrays(
+            [pa.array(ids[best], pa.int32()), pa.array(np.sqrt(np.maximum(gap, 0)))], names=["cluster_id", "distance"]
+        )
+
+    return nearest
+
+
+def assign_to_centroids(points: DataFrame, centroids: DataFrame, cfg: AuditConfig | None = None) -> DataFrame:
     """(row_id, cluster_id, distance) of the nearest centroid, however many there are.
 
-    The centroids travel to the tasks as one matrix; vectors are compared in
-    blocks of a fixed size.  Ties go to the smallest cluster id.
+    Centroids reach the tasks in parts of at most ``centroid_bytes``, one scan
+    each; sparse vectors stay sparse.  Ties go to the smallest cluster id.
     """
-    rows = centroids.orderBy("cluster_id").collect()
-    ids = np.array([r["cluster_id"] for r in rows], dtype=np.int32)
-    centers = np.array([r["centroid"] for r in rows], dtype=np.float64)
-
-    @F.pandas_udf("cluster_id int, distance double")
-    def nearest(vectors: pd.Series) -> pd.DataFrame:
-        x = np.stack(vectors.to_numpy()).astype(np.float64)
-        best, gap = np.zeros(len(x), np.int64), np.full(len(x), np.inf)
-        some = max(1, _BLOCK // centers.shape[1])  # vectors times centroids
-        wide = min(len(centers), some)
-        high = max(1, some // wide)
-        for c in range(0, len(centers), wide):
-            for r in range(0, len(x), high):
-                part = x[r : r + high, None, :] - centers[None, c : c + wide, :]
-                gaps = (part * part).sum(axis=2)
-                near = gaps.argmin(axis=1)
-                found = gaps[np.arange(len(near)), near]
-                closer = found < gap[r : r + high]
-                best[r : r + high][closer] = near[closer] + c
-                gap[r : r + high][closer] = found[closer]
-        return pd.DataFrame({"cluster_id": ids[best], "distance": np.sqrt(gap)})
-
-    found = nearest(vector_to_array("features"))
-    return points.select("row_id", found.alias("found")).select("row_id", "found.*")
+    cfg = cfg or AuditConfig()
+    table = stage(centroids.select("cluster_id", "centroid"), "centroid-table")
+    size = table.agg(F.count("*").alias("n"), F.max(F.size("centroid")).alias("dims")).first()
+    per_part = max(1, cfg.centroid_bytes // (8 * (size["dims"] or 1)))
+    parts = max(1, -(-size["n"] // per_part))
+    found = None
+    for part in range(parts):
+        # A part has about ``per_part`` rows.
+        rows = table.filter(F.pmod(F.xxhash64("cluster_id"), F.lit(parts)) == part).collect()
+        if not rows:
+            continue
+        rows.sort(key=lambda r: r["cluster_id"])
+        ids = np.array([r["cluster_id"] for r in rows], dtype=np.int32)
+        nearest = _nearest(ids, np.array([r["centroid"] for r in rows], dtype=np.float64))
+        here = points.select("row_id", nearest(F.unwrap_udt("features")).alias("found")).select("row_id", "found.*")
+        found = here if found is None else found.unionByName(here)
+    if parts == 1:
+        return found
+    return found.groupBy("row_id").agg(F.min(F.struct("distance", "cluster_id")).alias("best")).select(
+        "row_id", "best.cluster_id", "best.distance"
+    )
 
 
 def _squared_gap() -> Column:
@@ -290,14 +289,29 @@ def cluster_corpus(
     """((row_id, cluster_id, cluster_label) of every row, one-row selection record).
 
     Fits on all rows, or on ``fit_sample`` of them if that is set, and assigns
-    every row.  Rows without a usable vector get cluster -1.
+    every row.  Rows without a usable vector get cluster -1.  Where no vector
+    is usable, or all are equal, there is nothing to choose: the record says
+    so in ``note``.
     """
     points = stage(hashed_vectors(df, cfg) if vectors is None else vectors, "vectors-dense")
     usable = points.filter(_nonzero())
+    dims = F.coalesce(F.unwrap_udt("features")["size"], F.size(F.unwrap_udt("features")["values"]))
+    widest = usable.agg(F.max(dims)).first()[0]
+    if widest is None:
+        out = stage(default_labels(df.select("row_id", F.lit(UNASSIGNED).alias("cluster_id"))), "assigned")
+        spark = df.sparkSession
+        none = spark.createDataFrame([], "k int, silhouette double")
+        lists = spark.createDataFrame([], "cluster_id int, exemplars array<string>")
+        return out, selection_record(None, none, lists, out, "no row has a usable vector")
+    if widest > cfg.fold_above:
+        usable = stage(fold(usable, cfg.fold_dims), "vectors-folded").filter(_nonzero())
     fit_on = usable
     if cfg.fit_sample is not None:
         fit_on = stage(sample_rows(usable, cfg.fit_sample, seed=cfg.seed), "fit-sample")
     best, model, scores = sweep_k(fit_on, cfg)
+    note = None
+    if best < cfg.k_min:
+        note = f"only {len(model.centers)} different vectors: k is {best}"
 
     members = assign(usable, model)
     every = df.select("row_id").join(members.select("row_id", "cluster_id"), "row_id", "left")
@@ -308,7 +322,7 @@ def cluster_corpus(
         "assigned",
     )
     lists = exemplars(df, members, centroid_table(model, df.sparkSession), cfg)
-    return out, selection_record(best, scores, lists, out)
+    return out, selection_record(best, scores, lists, out, note)
 
 
 def attach_clusters(df: DataFrame, clusters: DataFrame) -> DataFrame:
@@ -316,10 +330,17 @@ def attach_clusters(df: DataFrame, clusters: DataFrame) -> DataFrame:
     return df.drop("cluster_id", "cluster_label").join(clusters, "row_id")
 
 
+# A selection record read back from JSON, where the keys of maps are text.
+SELECTION_JSON = (
+    "best_k int, note string, silhouette_by_k map<string,double>, "
+    "exemplars map<string,array<string>>, sizes map<string,bigint>"
+)
+
+
 def selection_record(
-    best: int, scores: DataFrame, lists: DataFrame, clustered: DataFrame
+    best: int | None, scores: DataFrame, lists: DataFrame, clustered: DataFrame, note: str | None = None
 ) -> DataFrame:
-    """Chosen k, silhouette per k, exemplars and sizes per cluster, as one row."""
+    """Chosen k, silhouette per k, exemplars and sizes per cluster, and what was odd, as one row."""
     sizes = clustered.groupBy("cluster_id").agg(F.count("*").alias("n"))
     # A handful of rows each, stacked and folded into one.
     parts = (
@@ -337,7 +358,8 @@ def selection_record(
         return F.map_from_entries(F.sort_array(F.collect_list(name)))
 
     return parts.agg(
-        F.lit(best).alias("best_k"),
+        F.lit(best).cast("int").alias("best_k"),
+        F.lit(note).cast("string").alias("note"),
         fold("score").alias("silhouette_by_k"),
         fold("texts").alias("exemplars"),
         fold("size").alias("sizes"),

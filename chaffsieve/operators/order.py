@@ -137,3 +137,62 @@ def assign_ntile(df: DataFrame, value: str, row_id: str, tiles: int, name: str)
     return in_place.unionByName(
         numbered.withColumn(name, tile_of(position, total_rows, tiles)).drop("__pos")
     )
+
+
+def sketched_quantiles(
+    df: DataFrame, group: str, value: str, shares: list[float], accuracy: int = 1000
+) -> DataFrame:
+    """(group, share, n, low, high): where a mergeable sketch puts each quantile, two error bounds wide.
+
+    The sketch's rank is off by at most n / ``accuracy``, so the value of rank
+    ceil(share * n) lies in [low, high].
+    """
+    off = 2.0 / accuracy
+    asked = [x for s in shares for x in (max(s - off, 0.0), min(s + off, 1.0))]
+    sketch = df.groupBy(group).agg(
+        F.count(value).alias("n"), F.percentile_approx(value, asked, accuracy).alias("found")
+    )
+    each = F.inline(
+        F.array(
+            *[
+                F.struct(
+                    F.lit(s).alias("share"),
+                    F.get("found", F.lit(2 * i)).alias("low"),
+                    F.get("found", F.lit(2 * i + 1)).alias("high"),
+                )
+                for i, s in enumerate(shares)
+            ]
+        )
+    )
+    return sketch.filter("n > 0").select(group, "n", each)
+
+
+def quantiles_by_sketch(
+    df: DataFrame, group: str, value: str, shares: list[float], accuracy: int = 1000
+) -> DataFrame:
+    """(group, share, n, value): exactly the value of rank ceil(share * n), at least 1, of each group.
+
+    A sketch brackets each quantile; one more scan counts the rows below a
+    bracket and, per value, those inside it.  What is sorted are the values of
+    the brackets, some 4 / ``accuracy`` of a group's rows at most.  NULL
+    values are left out; a group of them alone has no row.
+    """
+    # A row per group and share.
+    brackets = stage(sketched_quantiles(df, group, value, shares, accuracy), "brackets")
+    rows = df.filter(F.col(value).isNotNull()).select(F.col(group).alias("__g"), F.col(value).alias("__v"))
+    met = rows.join(F.broadcast(brackets), F.col("__g").eqNullSafe(F.col(group)))
+    inside = F.col("__v") >= F.col("low")
+    counts = (
+        met.filter(F.col("__v") <= F.col("high"))
+        .groupBy(group, "share", "n", F.when(inside, F.col("__v")).alias("at"))
+        .agg(F.count("*").alias("rows"))
+    )
+    # NULL stands for all that lies below the bracket and sorts first.
+    upto = Window.partitionBy(group, "share").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    rank = F.greatest(F.ceil(F.round(F.col("share") * F.col("n"), 6)), F.lit(1))
+    return (
+        counts.withColumn("upto", F.sum("rows").over(upto))
+        .filter(F.col("at").isNotNull() & (F.col("upto") >= rank))
+        .groupBy(group, "share", "n")
+        .agg(F.min("at").alias(value))
+    )

@@ -6,18 +6,26 @@ import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chaffsieve.config import AuditConfig
 from chaffsieve.operators import clean as cl
 from chaffsieve.operators import cluster as km
+from chaffsieve.operators import kmeans
 from chaffsieve.operators import quality as ql
 from chaffsieve.operators.neardup import near_duplicates
-from chaffsieve.operators.order import assign_ntile, dense_positions
+from chaffsieve.operators.order import (
+    assign_ntile,
+    dense_positions,
+    quantiles_by_sketch,
+    sketched_quantiles,
+)
 from chaffsieve.operators.sample import review_sample, sample_rows
 from chaffsieve.operators.tfidf import weighted_terms
-from chaffsieve.plans.audit import build_fact, enrich, flag
+from chaffsieve.plans import increments, stored_views
+from chaffsieve.plans.audit import audit, build_fact, enrich, flag, reflag, rename
 from chaffsieve.plans.views import VIEWS
 from chaffsieve.schema import QUALITY_FLAGS
 from chaffsieve.sources import corpus, sinks
@@ -163,6 +171,11 @@ def _exemplars(spark: SparkSession, base: str, whole: bool = False) -> DataFrame
     ).withColumn("position", (F.col("position") + 1).cast("bigint"))
 
 
+def _squares(model: km.Model) -> float:
+    """Within and between clusters: together the squared lengths of all points, whatever the clusters."""
+    return round(model.cost + model.between, 6)
+
+
 def _fit(spark: SparkSession, base: str) -> DataFrame:
     points = _points(spark, base).drop("cluster_id")
     model = km.fit_kmeans(points, 7, CFG)
@@ -170,25 +183,61 @@ def _fit(spark: SparkSession, base: str) -> DataFrame:
     both = km.assign(points, model).join(
         nearest.select("row_id", F.col("cluster_id").alias("nearest")), "row_id"
     )
-    return both.select("row_id", (F.col("cluster_id") == F.col("nearest")).alias("at_nearest"))
+    return both.agg(
+        F.lit(len(model.centers)).cast("bigint").alias("n_clusters"),
+        F.count("*").alias("n_rows"),
+        F.count_if(F.col("cluster_id") == F.col("nearest")).alias("at_nearest"),
+        F.lit(int(model.sizes.sum())).cast("bigint").alias("rows_fitted"),
+        F.lit(_squares(model)).alias("squares"),
+    )
 
 
 def _sweep(spark: SparkSession, base: str) -> DataFrame:
     points = _points(spark, base).drop("cluster_id")
     best, model, scores = km.sweep_k(points, CFG)
+    assigned = stage(km.assign(points, model), "swept")
+    score = km.silhouette(assigned)
     every = Window.partitionBy()  # one row per k
     return scores.select(
         F.col("k").cast("bigint").alias("k"),
         F.col("silhouette").between(-1, 1).alias("score_in_range"),
-        F.count_if((F.col("k") == best) & (F.col("silhouette") == F.max("silhouette").over(every)))
+        F.count_if(
+            (F.col("k") == best)
+            & (F.col("silhouette") == F.max("silhouette").over(every))
+            & (F.abs(F.col("silhouette") - F.lit(score)) < 1e-9)
+        )
         .over(every)
         .alias("n_best"),
-        F.lit(km.assign(points, model).filter(F.col("cluster_id") < best).count()).alias(
-            "rows_assigned"
-        ),
+        F.lit(assigned.filter(F.col("cluster_id") < best).count()).alias("rows_assigned"),
+        F.lit(_squares(model)).alias("squares"),
     )
 
 
+# Deterministic starts for Lloyd's steps: the means of the rows of a label, of a remainder.
+STARTS = {"label": "cluster_id", "remainder": "row_id % 6"}
+STEPS = 3
+
+
+def _kmeans_steps(spark: SparkSession, base: str) -> DataFrame:
+    """Some steps from several starts, all advanced by the same scans."""
+    points = _points(spark, base)
+    starts = []
+    for group in STARTS.values():
+        means = km.centroids_of(points.withColumn("start", F.expr(group)), "start").orderBy("start")
+        starts.append(np.array([r["centroid"] for r in means.collect()]))  # a row per label or remainder
+    rows = []
+    packed = kmeans.blocks(points)
+    held = kmeans.balls(packed, np.concatenate(starts))
+    for step in range(1, STEPS + 1):
+        models, _ = kmeans.one_pass(held, starts)
+        for name, model in zip(STARTS, models):
+            rows += [
+                (name, step, c, int(n), round(model.cost, 6)) for c, n in enumerate(model.sizes.tolist())
+            ]
+        starts = [kmeans.moved(m) for m in models]
+    return spark.createDataFrame(rows, "start string, step bigint, place bigint, n bigint, cost double")
+
+
 def _cluster_corpus(rows: DataFrame) -> DataFrame:
     clustered, _ = km.cluster_corpus(rows, CFG)
     return clustered.select("row_id", (F.col("cluster_label") == "unassigned").alias("is_unassigned"))
@@ -330,6 +379,168 @@ def _view(name: str) -> Query:
     return lambda spark, base: VIEWS[name](fact(spark, base), CFG)
 
 
+# ---- jobs, loads and stored views ------------------------------------------
+
+
+def _loaded_corpus(spark: SparkSession, base: str) -> DataFrame:
+    """A corpus under another key column, saved and read as a user's would be."""
+    out = _folder(spark, "corpus")
+    corpus.corpus_mixed(spark, base).drop("cluster_id").withColumnRenamed("order_key", "seq").write.parquet(out)
+    return _digest(corpus.load_corpus(spark, out, "seq"))
+
+
+def _quantiles(spark: SparkSession, base: str) -> DataFrame:
+    found = quantiles_by_sketch(enriched(spark, base), "cluster_id", "output_word_count", SHARES, accuracy=50)
+    return found.select("cluster_id", "share", "n", F.col("output_word_count").cast("bigint").alias("words"))
+
+
+def _sketch_bounds(spark: SparkSession, base: str) -> DataFrame:
+    """How many rows lie below and within each bracket of the sketch: the rank asked for is in between."""
+    rows = enriched(spark, base).select("cluster_id", "output_word_count")
+    brackets = sketched_quantiles(rows, "cluster_id", "output_word_count", SHARES, accuracy=50)
+    met = rows.join(F.broadcast(brackets.withColumnRenamed("cluster_id", "c")), F.expr("cluster_id <=> c"))
+    rank = F.ceil(F.round(F.col("share") * F.col("n"), 6))
+    return (
+        met.groupBy("cluster_id", "share", "n")
+        .agg(
+            F.count_if(F.expr("output_word_count < low")).alias("below"),
+            F.count_if(F.expr("output_word_count <= high")).alias("upto"),
+        )
+        .select("cluster_id", "share", "n", ((F.col("below") < rank) & (rank <= F.col("upto"))).alias("holds_rank"))
+    )
+
+
+SHARES = [0.25, 0.5, 0.9]
+
+
+def _observed(spark: SparkSession, base: str) -> DataFrame:
+    """What cleaning counted while its rows were written."""
+    rows, seen = cl.counted(corpus.corpus_mixed(spark, base))
+    cl.clean(rows).write.parquet(_folder(spark, "observed"))
+    return spark.createDataFrame([seen.get], "rows_read bigint, rows_kept bigint, rows_dropped bigint")
+
+
+def _missing(spark: SparkSession, base: str) -> DataFrame:
+    """The fact columns that the first stage does not have yet, with the rows that wait for them."""
+    rows = enriched(spark, base)
+    names = [(c,) for c in sinks.missing_columns(rows)]
+    return rows.agg(F.count("*").alias("row_count")).join(
+        F.broadcast(spark.createDataFrame(names, "missing string")), how="cross"
+    )
+
+
+def _cluster_json(spark: SparkSession, base: str) -> DataFrame:
+    """A selection record of label clusters, saved as JSON and read back."""
+    members, centroids = _members(spark, base)
+    out = _folder(spark, "cluster-json")
+    texts = corpus.corpus_from_documents(spark, base).select(F.col("order_key").alias("row_id"), "instruction")
+    members = members.join(texts.select("row_id"), "row_id", "left_semi")
+    scores = spark.createDataFrame([], "k int, silhouette double")
+    record = km.selection_record(None, scores, km.exemplars(texts, members, centroids.drop("n"), CFG), members)
+    sinks.write_json(record, out)
+    saved = spark.read.schema(km.SELECTION_JSON).json(out)
+    sizes = saved.select(F.explode("sizes").alias("cluster", "n"))
+    lists = saved.select(F.explode("exemplars").alias("cluster", "texts"))
+    return sizes.join(lists, "cluster").select(
+        F.col("cluster").cast("int").alias("cluster_id"), "n", F.get("texts", F.lit(0)).alias("nearest"), F.size("texts").alias("shown")
+    )
+
+
+def _audited(spark: SparkSession, base: str) -> str:
+    """A finished audit of the mixed corpus with the clusters it brings along."""
+
+    def build() -> str:
+        out = _folder(spark, "audit")
+        raw = corpus.corpus_mixed(spark, base)
+        # Killed after the first stage, then run to its end.
+        sinks.write_enriched(
+            enrich(raw, CFG), out, "enriched", sinks.fingerprint(raw, "enriched", repr(CFG))
+        )
+        result = audit(raw, out, CFG, cluster=False, names=CLUSTER_NAMES, views=False, resume=True)
+        if result.reused != ["enriched"]:
+            raise RuntimeError(f"stages taken over: {result.reused}")
+        return out
+
+    return shared(spark, (base, "audit"), build)
+
+
+def _resumed(spark: SparkSession, base: str) -> DataFrame:
+    return _plain(select_fact(sinks.read_enriched(spark, _audited(spark, base), "flagged")))
+
+
+def _renamed_then_reflagged(spark: SparkSession, base: str) -> DataFrame:
+    """Clusters found, named, and the rows flagged again: the names stay."""
+    out = _folder(spark, "renamed")
+    strict = replace(CFG, k_min=len(CLUSTER_NAMES), k_max=len(CLUSTER_NAMES), min_output_words=10_000)
+    raw = corpus.corpus_mixed(spark, base)
+    # One direction per cluster that the corpus brings along, so that these are found again.
+    first = enriched(spark, base).select("row_id", "cluster_id")
+    axes = F.transform(F.sequence(F.lit(0), F.lit(len(CLUSTER_NAMES) - 1)), lambda i: (i == F.col("cluster_id")).cast("double"))
+    vectors = km.precomputed_vectors(first.withColumn("axis", axes), "row_id", "axis")
+    audit(raw.drop("cluster_id"), out, strict, vectors=vectors, views=False)
+    found = sinks.read_enriched(spark, out, "clusters").join(first.withColumnRenamed("cluster_id", "brought"), "row_id")
+    pairs = found.select("cluster_id", "brought").distinct().collect()  # one row per cluster
+    rename(spark, out, {r["cluster_id"]: CLUSTER_NAMES[r["brought"]] for r in pairs}, strict, views=False)
+    again = reflag(spark, out, replace(strict, min_output_words=CFG.min_output_words), views=False)
+    return _plain(again.fact).drop("cluster_id")
+
+
+def _halves(spark: SparkSession, base: str) -> list[DataFrame]:
+    """The mixed corpus in three parts, one after the other by key."""
+    raw = corpus.corpus_mixed(spark, base)
+    last = raw.agg(F.max("order_key")).first()[0]
+    key, third = F.col("order_key"), last // 3
+    return [raw.filter(key <= third), raw.filter((key > third) & (key <= 2 * third)), raw.filter(key > 2 * third)]
+
+
+def _incremental(spark: SparkSession, base: str) -> DataFrame:
+    """A corpus audited in parts that were added one by one."""
+    root = _folder(spark, "increments")
+    for part in _halves(spark, base):
+        increments.append_batch(spark, root, increments.next_batch(spark, root), part, CFG)
+    named = km.relabel_clusters(increments.read_rows(spark, root), CLUSTER_NAMES)
+    return _plain(select_fact(flag(stage(named, "increments"), CFG)))
+
+
+def _streamed(spark: SparkSession, base: str) -> DataFrame:
+    """Exact duplicates of a corpus that arrives in three files."""
+    root, folder = _folder(spark, "stream-state"), _folder(spark, "stream-in")
+    for part in _halves(spark, base):
+        part.drop("cluster_id").coalesce(1).write.mode("append").parquet(folder)
+        increments.append_stream(spark, folder, root, CFG).awaitTermination()
+    return increments.read_rows(spark, root).select("row_id", "is_exact_duplicate")
+
+
+def _stored(spark: SparkSession, base: str) -> str:
+    """Prefix of views that were created before the second half of the fact table was loaded."""
+
+    def build() -> str:
+        name = f"stored_{uuid.uuid4().hex}"
+        rows = fact(spark, base)
+        even = F.col("row_id") % 2 == 0
+        sinks.load_fact_table(rows.filter(even), name)
+        stored_views.create_views(spark, name, CFG, f"{name}_")
+        sinks.load_fact_table(rows.filter(~even), name, truncate=False)
+        return f"{name}_"
+
+    return shared(spark, (base, "stored-views"), build)
+
+
+def _stored_view(name: str) -> Query:
+    return lambda spark, base: spark.table(f"{_stored(spark, base)}{name}")
+
+
+def _by_cluster(spark: SparkSession, base: str) -> DataFrame:
+    """A fact table laid out by cluster, one cluster of which was loaded wrongly and then again."""
+    table = f"by_cluster_{uuid.uuid4().hex}"
+    rows = fact(spark, base)
+    sinks.load_fact_by_cluster(rows, table)
+    one = rows.filter("cluster_id = 1")
+    sinks.load_fact_by_cluster(one.filter("row_id % 3 = 0"), table)
+    sinks.load_fact_by_cluster(one, table)
+    return _plain(spark.table(table).select(*rows.columns))
+
+
 QUERIES: dict[str, Query] = {
     "clean_corpus": lambda s, d: _digest(_cleaned(s, d)).drop("is_exact_duplicate"),
     "corpus_with_text_column": lambda s, d: _digest(
@@ -415,6 +626,20 @@ QUERIES: dict[str, Query] = {
     "cluster_exemplars_whole_text": lambda s, d: _exemplars(s, d, whole=True),
     "fit_kmeans": _fit,
     "sweep_k": _sweep,
+    "kmeans_steps": _kmeans_steps,
+    "loaded_corpus": _loaded_corpus,
+    "quantiles_by_sketch": _quantiles,
+    "sketch_bounds": _sketch_bounds,
+    "cleaning_counts_observed": _observed,
+    "missing_columns": _missing,
+    "default_labels": lambda s, d: km.default_labels(enriched(s, d)).select("row_id", "cluster_id", "cluster_label"),
+    "cluster_json": _cluster_json,
+    "resumed_audit": _resumed,
+    "renamed_then_reflagged": _renamed_then_reflagged,
+    "incremental_fact": _incremental,
+    "streamed_duplicates": _streamed,
+    "fact_by_cluster": _by_cluster,
+    **{f"stored_{name}": _stored_view(name) for name in VIEWS},
     "cluster_corpus": lambda s, d: _cluster_corpus(enriched(s, d)),
     "cluster_corpus_whole_text": lambda s, d: _cluster_corpus(enriched_whole(s, d)),
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from hashlib import md5
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,14 +13,44 @@ from chaffsieve.functions.numeric import to_numeric
 from chaffsieve.schema import FACT, FACT_COLUMNS
 
 
-def write_enriched(df: DataFrame, root: str, stage_name: str) -> DataFrame:
+def write_enriched(df: DataFrame, root: str, stage_name: str, key: str | None = None) -> DataFrame:
     """Save one stage in a folder of its own and return the saved table.
 
     Spark cannot overwrite a path it reads from, so stages do not share one.
+    ``key`` says what the stage was made of; it is noted once the rows are
+    there, so a stage that was cut short has none.
     """
+    spark = df.sparkSession
     path = f"{root}/stage={stage_name}"
+    _delete(spark, f"{root}/made={stage_name}")
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    if key is not None:
+        spark.createDataFrame([(key,)], "key string").coalesce(1).write.mode("overwrite").json(f"{root}/made={stage_name}")
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def made_of(spark: SparkSession, root: str, stage_name: str) -> str | None:
+    """The ``key`` a finished stage was saved with."""
+    path = f"{root}/made={stage_name}"
+    if not (_exists(spark, path) and has_stage(spark, root, stage_name)):
+        return None
+    row = spark.read.schema("key string").json(path).first()
+    return row["key"] if row else None
+
+
+def fingerprint(df: DataFrame, *more: str) -> str:
+    """A digest of the rows of ``df``, in any order and any partitions, and of some words on their use."""
+    names = sorted(df.columns)
+    h = F.xxhash64(*[F.col(c) for c in names])
+    found = df.agg(
+        F.count(F.lit(1)), F.bit_xor(h), F.sum(F.shiftrightunsigned(h, 1).cast("decimal(38,0)"))
+    ).first()
+    return md5(repr((names, tuple(found), more)).encode()).hexdigest()
+
+
+def derived(key: str, *more: str) -> str:
+    """The key of a stage made of the stage ``key``."""
+    return md5(repr((key, more)).encode()).hexdigest()
 
 
 def read_enriched(spark: SparkSession, root: str, stage_name: str, limit: int | None = None):
@@ -29,13 +60,42 @@ def read_enriched(spark: SparkSession, root: str, stage_name: str, limit: int |
 
 
 def has_stage(spark: SparkSession, root: str, stage_name: str) -> bool:
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/stage={stage_name}")
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    return _exists(spark, f"{root}/stage={stage_name}")
+
+
+def _files(spark: SparkSession, path: str):
+    """(file system, path) of the JVM."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    system, found = _files(spark, path)
+    return system.exists(found)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    system, found = _files(spark, path)
+    system.delete(found, True)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder with rows that Spark finished writing."""
+    system, found = _files(spark, path)
+    if not system.exists(found):
+        return []
+    names = [status.getPath().getName() for status in system.listStatus(found)]
+    return [n for n in names if _exists(spark, f"{path}/{n}/_SUCCESS")]
+
+
+def missing_columns(df: DataFrame) -> list[str]:
+    """The fact columns ``df`` does not have, in their order."""
+    return [c for c in FACT_COLUMNS if c not in df.columns]
 
 
 def select_fact(df: DataFrame) -> DataFrame:
     """The fact columns in order and typed; names any that are missing."""
-    missing = [c for c in FACT_COLUMNS if c not in df.columns]
+    missing = missing_columns(df)
     if missing:
         raise KeyError(f"missing columns {missing}; run clean, cluster and flag first")
     return coerce_fact(df)
@@ -77,6 +137,39 @@ def load_fact_table(fact: DataFrame, table: str, truncate: bool = True) -> int:
     return verify_load(spark.table(table), before + rows.count())
 
 
+def load_fact_by_cluster(fact: DataFrame, table: str) -> int:
+    """Load into a table laid out by cluster, replacing the clusters that ``fact`` has and no others.
+
+    A cluster is a partition, and inside it files are ranges of row_id, so a
+    reader opens the clusters and ranges it asks for.  Returns the rows of the
+    replaced clusters.
+    """
+    spark = fact.sparkSession
+    rows = select_fact(fact)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in FACT.fields)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet PARTITIONED BY (cluster_id)")
+    # Partition columns come last in a table, and rows go in by position.
+    ordered = rows.select(*spark.table(table).columns)
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        ordered.repartitionByRange("cluster_id", "row_id").sortWithinPartitions("cluster_id", "row_id").write.insertInto(
+            table, overwrite=True
+        )
+    finally:
+        spark.conf.set(mode, before)
+    # One row per cluster on either side.
+    want = rows.groupBy("cluster_id").agg(F.count("*").alias("want"))
+    have = spark.table(table).groupBy(F.col("cluster_id").alias("c")).agg(F.count("*").alias("have"))
+    odd = want.join(have, F.col("cluster_id").eqNullSafe(F.col("c")), "left").agg(
+        F.sum("want").alias("rows"), F.count_if(~F.col("want").eqNullSafe(F.col("have"))).alias("wrong")
+    ).first()
+    if odd["wrong"]:
+        raise RuntimeError(f"{odd['wrong']} clusters of {table} do not have the rows that were loaded")
+    return odd["rows"] or 0
+
+
 def load_fact_jdbc(
     fact: DataFrame,
     url: str,

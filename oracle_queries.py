@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from chaffsieve import AuditConfig
 from chaffsieve.functions.text import PROMPT_CLASSES, READABILITY_LEVELS, WHITESPACE
-from chaffsieve.plans.queries import SMALL_VOCABULARY
+from chaffsieve.plans.queries import SHARES, SMALL_VOCABULARY, STEPS
 from chaffsieve.schema import QUALITY_FLAGS
 from chaffsieve.sources.corpus import (
     CLUSTER_NAMES,
@@ -307,6 +307,32 @@ nearest AS MATERIALIZED (
 """
 
 
+def lloyd(steps: int) -> str:
+    """Plain Lloyd steps from the means of labels and of remainders, each step a query of its own."""
+    ctes = """, starts AS (
+        SELECT 'label' AS start, row_id, label AS place FROM coords GROUP BY ALL
+        UNION ALL SELECT 'remainder', row_id, row_id % 6 FROM coords GROUP BY ALL),
+    means1 AS (SELECT start, place, i, avg(x) AS c FROM starts JOIN coords USING (row_id) GROUP BY ALL)"""
+    for n in range(1, steps + 1):
+        ctes += f""",
+    gaps{n} AS MATERIALIZED (SELECT start, row_id, place, sum((x - c) * (x - c)) AS gap
+        FROM coords JOIN means{n} USING (i) GROUP BY ALL),
+    near{n} AS MATERIALIZED (SELECT * FROM gaps{n}
+        QUALIFY row_number() OVER (PARTITION BY start, row_id ORDER BY gap, place) = 1),
+    means{n + 1} AS MATERIALIZED (SELECT start, place, i, coalesce(m, c) AS c FROM means{n} LEFT JOIN (
+        SELECT start, place, i, avg(x) AS m FROM near{n} JOIN coords USING (row_id) GROUP BY ALL)
+        USING (start, place, i))"""
+    # Places are numbered from 0 in their order.
+    found = " UNION ALL ".join(
+        f"""SELECT start, {n}::BIGINT AS step, dense_rank() OVER (PARTITION BY start ORDER BY place) - 1 AS place,
+            coalesce(n, 0) AS n, round(sum(cost) OVER (PARTITION BY start), 6) AS cost
+        FROM (SELECT DISTINCT start, place FROM means{n}) LEFT JOIN (
+            SELECT start, place, count(*) AS n, sum(gap) AS cost FROM near{n} GROUP BY ALL) USING (start, place)"""
+        for n in range(1, steps + 1)
+    )
+    return CENTROIDS + ctes + found
+
+
 # Ordered views: what names a row, and the order.
 VIEW_ORDER = (
     ("v_cluster_composition", "cluster_label", "row_count DESC, cluster_label NULLS FIRST"),
@@ -602,9 +628,45 @@ def oracle_sql() -> dict[str, str]:
         "cluster_corpus": on_features(
             "SELECT row_id, instruction_clean = '' AS is_unassigned FROM featured"
         ),
-        "fit_kmeans": "SELECT vec_id AS row_id, true AS at_nearest FROM embeddings",
-        "sweep_k": f"""SELECT k, true AS score_in_range, 1 AS n_best,
-                (SELECT count(*) FROM embeddings) AS rows_assigned
+        "fit_kmeans": CENTROIDS
+        + """SELECT 7::BIGINT AS n_clusters, count(DISTINCT row_id) AS n_rows,
+                count(DISTINCT row_id) AS at_nearest, count(DISTINCT row_id) AS rows_fitted,
+                round(sum(x * x), 6) AS squares FROM coords""",
+        "sweep_k": CENTROIDS
+        + f"""SELECT k, true AS score_in_range, 1 AS n_best,
+                (SELECT count(*) FROM embeddings) AS rows_assigned,
+                (SELECT round(sum(x * x), 6) FROM coords) AS squares
             FROM range({CFG.k_min}, {CFG.k_max + 1}) AS swept(k)""",
+        "kmeans_steps": lloyd(STEPS),
+        "loaded_corpus": f"""SELECT order_key, instruction, input, md5(output) AS output_md5 FROM ({MIXED})""",
+        "quantiles_by_sketch": on_features(
+            f"""SELECT cluster_id, share, n, min(output_word_count) AS words FROM (
+                SELECT cluster_id, output_word_count, count(*) OVER c AS n,
+                       row_number() OVER (c ORDER BY output_word_count) AS place
+                FROM featured WINDOW c AS (PARTITION BY cluster_id))
+            CROSS JOIN (SELECT unnest({SHARES}) AS share)
+            WHERE place >= greatest(ceil(round(share * n, 6)), 1) GROUP BY ALL"""
+        ),
+        "sketch_bounds": on_features(
+            f"""SELECT cluster_id, unnest({SHARES}) AS share, count(*) AS n, true AS holds_rank
+            FROM featured GROUP BY cluster_id"""
+        ),
+        "cleaning_counts_observed": sql["cleaning_counts"],
+        "missing_columns": f"""WITH {cleaned(MIXED)}
+            SELECT (SELECT count(*) FROM cleaned) AS row_count, unnest([
+                'cluster_label', 'is_near_duplicate', 'duplicate_of', 'flag_readability_outlier',
+                'n_flags', 'adequacy_score']) AS missing""",
+        "default_labels": f"""WITH {cleaned(MIXED)}
+            SELECT row_id, cluster_id, 'cluster_' || cluster_id AS cluster_label FROM cleaned""",
+        "cluster_json": CENTROIDS
+        + f"""SELECT cluster_id, count(*) AS n, least(count(*), {CFG.exemplars})::INT AS shown,
+                left(split_part(arg_min(text, (gap, row_id)), chr(10), 1), {CFG.exemplar_chars}) AS nearest
+            FROM nearest JOIN documents ON doc_id = row_id GROUP BY cluster_id""",
+        "resumed_audit": sql["select_fact"],
+        "renamed_then_reflagged": sql["select_fact"].replace("prompt_type_rule, cluster_id,", "prompt_type_rule,"),
+        "incremental_fact": sql["select_fact"],
+        "streamed_duplicates": sql["exact_duplicates"],
+        "fact_by_cluster": sql["select_fact"],
+        **{f"stored_{v}": sql[v] for v in views},
     }
     return sql
