@@ -37,9 +37,9 @@ NO_LANGUAGE = "und"
 
 PAD, REST = 0, 1  # beyond the end of a piece; too rare to matter
 KNOWN = 1 << 18  # words with small numbers, 2 MB
-BLOCK = 1 << 21  # words counted at once: their codes take 21 bits
-SLICE = 8 << 20  # bytes hashed at once
-BATCH_ROWS = 8192
+BLOCK = 1 << 20  # words counted at once: their codes take 21 bits
+SLICE = 4 << 20  # bytes hashed at once
+BATCH_ROWS = 2048
 
 _BREAK = np.zeros(256, bool)
 _BREAK[np.frombuffer(b".,;:!?\n\x0b\x0c\r", np.uint8)] = True
