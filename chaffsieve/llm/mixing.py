@@ -5,8 +5,9 @@ passes.  A document finishes at the virtual time (words of its source up to
 and with it) / (target of the source).  Sources are served at rates
 proportional to their targets, so the stream sorted by virtual finish time
 keeps the mix at every point, and a budget of the sum of all targets is used
-up at virtual time 1, whatever the number of documents.  What is in service
-then is cut: at most one document per source is taken in part.
+up at virtual time CUT, whatever the number of documents.  Documents that
+finish by then are taken whole, those that start later not at all, and what is
+in service is cut: at most one document per source is taken in part.
 
 Running sums are taken without sorting a source in one task: rows fall into
 buckets of shuffle order, about sqrt(rows) rows each, a bucket is summed as a
@@ -25,6 +26,8 @@ from chaffsieve.sources.staging import stage
 
 WEIGHTS = (5, 2, 1)
 CAP = 3
+# Virtual time at which the sum of all targets is used up.
+CUT = 1.0
 # Bits of the shuffle key: the first 15 hexadecimal digits of an MD5 digest.
 KEY_BITS = 60
 
@@ -38,8 +41,10 @@ def _queue(source: Column) -> Column:
     return F.when(source.isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), source.cast("string")))
 
 
-def _shuffle_key(doc_id: Column) -> Column:
-    digits = F.substring(F.md5(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), 1, 15)
+def _shuffle_key(doc_id: Column, text: Column) -> Column:
+    """Rows without an id, or that share one, are told apart by their texts."""
+    named = F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), F.md5(text.cast("binary")))
+    digits = F.substring(F.md5(named.cast("binary")), 1, 15)
     return F.conv(digits, 16, 10).cast("bigint")
 
 
@@ -83,6 +88,25 @@ def source_targets(
     )
 
 
+def virtual_time(words: Column, n: int | Column) -> Column:
+    """When ``words`` of pass ``n`` of a source have been served; NULL for a source without words."""
+    return F.try_divide((F.col("source_size") * n + words).cast("double"), F.col("target"))
+
+
+def served(n: int) -> Column:
+    """Words of a document that pass ``n`` has served when the budget is used up."""
+    start = virtual_time(F.col("before"), n)
+    finish = virtual_time(F.col("before") + F.col("size"), n)
+    # In service at the cut: what the source's whole number of words leaves for it.
+    part = F.col("goal") - F.col("before") - F.col("source_size") * n
+    none = F.lit(0).cast("bigint")
+    return (
+        F.when(finish <= CUT, F.col("size"))
+        .when(start < CUT, F.greatest(none, F.least(F.col("size"), part)))
+        .otherwise(none)
+    )
+
+
 def mix(
     docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP
 ) -> DataFrame:
@@ -92,16 +116,16 @@ def mix(
     the columns doc_id, source and text must be among them.  ``before`` counts
     the words of the source ahead of it in the first pass, ``taken`` the words
     the mix takes of it over all passes, never more than ``cap`` * size.  The
-    order within a source depends on doc_id alone, so reruns agree.  A NULL
-    text has size 0; a NULL doc_id shuffles like an empty one; repeated rows
-    count as documents of their own; an empty table gives no rows.
+    order within a source depends on doc_id and text alone, so reruns agree.
+    A NULL text has size 0; a NULL doc_id shuffles like an empty one; repeated
+    rows count as documents of their own; an empty table gives no rows.
     """
     row = F.struct(*[F.col(c) for c in docs.columns])
     placed = docs.select(
         row.alias("row"),
         F.col("source"),
         _queue(F.col("source")).alias("queue"),
-        _shuffle_key(F.col("doc_id")).alias("key"),
+        _shuffle_key(F.col("doc_id"), whole_text()).alias("key"),
         word_count(whole_text()).alias("size"),
     )
     if set(docs.columns) == {"doc_id", "source", "text"}:
@@ -143,16 +167,9 @@ def mix(
     queued = meet(queued, offsets, ["queue", "bucket"]).withColumn(
         "before", F.col("offset") + F.coalesce(F.sum("size").over(inside), F.lit(0))
     )
-    served = [
-        F.greatest(
-            F.lit(0).cast("bigint"),
-            F.least(F.col("size"), F.col("goal") - F.col("before") - F.col("source_size") * n),
-        )
-        for n in range(cap)
-    ]
-    taken = served[0]
-    for more in served[1:]:
-        taken = taken + more
+    taken = served(0)
+    for n in range(1, cap):
+        taken = taken + served(n)
     return queued.select(
         "row", "size", "source_size", "target", "goal", "before", taken.alias("taken")
     )
@@ -172,9 +189,7 @@ def mixed_stream(
     copies = taken.select("*", F.explode(passes).alias("pass")).select(
         "*",
         F.least(F.col("size"), F.col("taken") - F.col("pass") * F.col("size")).alias("words"),
-        (
-            (F.col("pass") * F.col("source_size") + F.col("before") + F.col("size")) / F.col("target")
-        ).alias("finish"),
+        virtual_time(F.col("before") + F.col("size"), F.col("pass")).alias("finish"),
     )
     pieces = F.regexp_extract_all(F.col("row.text"), F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
     head = F.array_join(F.slice(pieces, 1, F.col("words").cast("int")), "")

@@ -48,7 +48,8 @@ OP2_SQL = r"""
 WITH sized AS (
     SELECT doc_id, source,
            len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-           ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS key
+           ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))), 1, 15))::BIGINT
+               AS key
     FROM documents
 ), totals AS (
     SELECT source, sum(size)::BIGINT AS source_size,
