@@ -13,9 +13,12 @@ not base spans.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from hashlib import sha256
+from ipaddress import IPv6Address
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -48,8 +51,11 @@ _BEFORE_AT = re.compile(r"[A-Za-z0-9._%+-]{2,64} ?$")
 _AFTER_AT = re.compile(
     r" ?[A-Za-z0-9-]{1,64}(?: ?(?:\(dot\)|\[dot\]|\{dot\}| dot |\.) ?[A-Za-z0-9-]{2,24})+", re.I
 )
-_IPV6 = re.compile(r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])")
-_NATIONAL = re.compile(r"(?<![0-9+])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])")
+_IPV6 = re.compile(r"(?<![0-9A-Za-z:])(?=[0-9A-Fa-f]*:)[0-9A-Fa-f:]{2,39}(?![0-9A-Za-z:])")
+# Three groups as in North America, or a trunk zero and groups, as in most of Europe.
+_NATIONAL = re.compile(
+    r"(?<![0-9+])(?:\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}|\(?0[1-9][0-9]{0,4}\)?(?:[ /.-][0-9]{2,8}){1,5})(?![0-9])"
+)
 
 # Gazetteers and context words.
 TOP_LEVEL = frozenset(
@@ -129,27 +135,38 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def _wider(text: str) -> Iterator[tuple[int, int, int]]:
-    if "dot" in text.lower():
-        for m in _AT.finditer(text):
-            window = text[max(0, m.start() - 66) : m.start()]
-            before, after = _BEFORE_AT.search(window), _AFTER_AT.match(text[m.end() : m.end() + 200])
-            if before and after and "dot" in after[0].lower():
-                yield m.start() - len(before[0]), 0, m.end() + after.end()
+    for m in _AT.finditer(text):
+        window = text[max(0, m.start() - 66) : m.start()]
+        before, after = _BEFORE_AT.search(window), _AFTER_AT.match(text[m.end() : m.end() + 200])
+        # The bare word "at" is everywhere: there the dot must be spelled out, too.
+        if before and after and (m[0] != " at " or "dot" in after[0].lower()):
+            yield m.start() - len(before[0]), 0, m.end() + after.end()
     if _DIGIT.search(text):
         for m in _NATIONAL.finditer(text):
-            yield m.start(), 3, m.end()
-        if ":" in text:
-            for m in _IPV6.finditer(text):
+            if 8 <= sum("0" <= c <= "9" for c in m[0]) <= 13:
+                yield m.start(), 3, m.end()
+    if ":" in text:
+        for m in _IPV6.finditer(text):
+            if m[0].count(":") >= 2 and _DIGIT.search(m[0]) and _is_ipv6(m[0]):
                 yield m.start(), 1, m.end()
 
 
+def _is_ipv6(text: str) -> bool:
+    try:
+        IPv6Address(text)
+    except ValueError:
+        return False
+    return True
+
+
 def _gazetteer(kind: int, span: str) -> int:
     digits = _digits(span)
     if kind == 0:
         return YES if re.split(r"[^A-Za-z0-9]+", span.lower().rstrip(")]}"))[-1] in TOP_LEVEL else NO
     if kind == 1:
         if ":" in span:
-            return ABSTAIN
+            # Addresses in use: global unicast, unique local, link local.
+            return YES if span.count(":") == 7 or re.match("2[0-9a-f]{3}:|3[0-9a-f]{3}:|f[cd][0-9a-f]{2}:|fe80:", span.lower()) else NO
         parts = span.split(".")
         plain = all(p == "0" or not p.startswith("0") for p in parts)
         return YES if plain and all(map(_small, parts)) and 0 < int(parts[0]) < 224 else NO
@@ -158,7 +175,9 @@ def _gazetteer(kind: int, span: str) -> int:
         return YES if issuer and 13 <= len(digits) <= 19 else NO
     if span.startswith("+"):
         return YES if any(digits[:n] in COUNTRY_CODES for n in (1, 2, 3)) else NO
-    return YES if digits[0] not in "01" else NO
+    if digits[0] == "0":
+        return YES if 9 <= len(digits) <= 12 else ABSTAIN  # with the trunk zero
+    return YES if digits[0] != "1" else NO
 
 
 def votes(text: str, start: int, kind: int, end: int, passes: bool | None) -> list[int]:
@@ -231,12 +250,17 @@ def reliabilities(
     return float(prior), table, truth
 
 
-def _train(rows: np.ndarray, target: np.ndarray, rounds: int = 400, rate: float = 2.0) -> np.ndarray:
-    """Logistic regression on probabilistic labels, by gradient descent with a small ridge."""
-    weights = np.zeros(rows.shape[1])
+def _train(
+    rows: np.ndarray, target: np.ndarray, times: np.ndarray, rounds: int = 400, rate: float = 2.0
+) -> np.ndarray:
+    """Logistic regression on probabilistic labels, by gradient descent with a small ridge.
+
+    Row i counts ``times[i]`` times.
+    """
+    weights, share = np.zeros(rows.shape[1]), times / times.sum()
     for _ in range(rounds):
         found = 1 / (1 + np.exp(-np.clip(rows @ weights, -50, 50)))
-        weights -= rate * (rows.T @ (found - target) / len(rows) + 1e-4 * weights)
+        weights -= rate * (rows.T @ (share * (found - target)) + 1e-4 * weights)
     return weights
 
 
@@ -257,13 +281,16 @@ _CANDIDATES = pa.list_(
 
 def _found(text: str) -> list[dict]:
     tried = sorted(matches(text))
-    base = [(s, e) for s, _, e, ok in tried if ok]
+    # Starts of the base spans in order, and how far all up to each of them reach.
+    starts = [s for s, _, _, ok in tried if ok]
+    reach = list(accumulate((e for _, _, e, ok in tried if ok), max))
     every = [(s, k, e, ok) for s, k, e, ok in tried]
     every += [(s, k, e, None) for s, k, e in _wider(text)]
     out = []
     for s, k, e, ok in every:
         # What overlaps a base span is no candidate of its own.
-        if not ok and any(s < y and x < e for x, y in base):
+        before = bisect_left(starts, e)
+        if not ok and before and reach[before - 1] > s:
             continue
         cast = votes(text, s, k, e, ok)
         out.append(
@@ -291,8 +318,8 @@ def candidates(docs: DataFrame) -> DataFrame:
 def fit(found: DataFrame, sample: int = SAMPLE) -> Model:
     """Reliabilities from the vote patterns of all candidates, then the final classifier.
 
-    There are at most 4 * 81 patterns; they and a bounded sample of candidates
-    reach the driver.
+    There are at most 4 * 81 patterns; they and about ``sample`` different
+    shapes of candidates reach the driver, each with its number.
     """
     spans = found.select(F.explode("found").alias("c")).select("c.*")
     tally = spans.groupBy("kind", "votes").agg(F.count("*").alias("n")).collect()
@@ -302,15 +329,18 @@ def fit(found: DataFrame, sample: int = SAMPLE) -> Model:
         patterns, counts = np.array([v for v, _ in rows]), np.array([n for _, n in rows], float)
         prior[kind], table[kind], likely = reliabilities(patterns, counts)
         truth |= {(kind, v): p for (v, _), p in zip(rows, likely)}
-    total = sum(r["n"] for r in tally)
-    if not total:
+    if not tally:
         return Model()
-    share = F.pmod(F.xxhash64("start", "end", "shape"), F.lit(1 << 20)) < (sample << 20) // total
-    picked = spans.filter(share).groupBy("kind", "votes", "shape").agg(F.count("*").alias("n"))
-    picked = sorted(picked.collect(), key=lambda r: (r["kind"], r["votes"], r["shape"]))
-    rows = np.repeat([r["shape"] for r in picked], [r["n"] for r in picked], axis=0)
-    target = np.repeat([truth[r["kind"], tuple(r["votes"])] for r in picked], [r["n"] for r in picked])
-    return Model(table, prior, _train(rows, target) if len(rows) else None)
+    # Equal shapes are one row with their number, so copies of a document cost nothing.
+    shapes = stage(spans.groupBy("kind", "votes", "shape").agg(F.count("*").alias("n")), "pii-shapes")
+    kept = min(1.0, sample / shapes.count())
+    draw = F.shiftrightunsigned(F.xxhash64("kind", "votes", "shape"), 4).cast("double") / float(1 << 60)
+    picked = sorted(shapes.filter(draw < kept).collect(), key=lambda r: (r["kind"], r["votes"], r["shape"]))
+    if not picked:
+        return Model(table, prior, None)
+    rows = np.array([r["shape"] for r in picked])
+    target = np.array([truth[r["kind"], tuple(r["votes"])] for r in picked])
+    return Model(table, prior, _train(rows, target, np.array([r["n"] for r in picked], float)))
 
 
 def _joined(spans: list[tuple[int, int, int]]) -> str:
@@ -337,13 +367,14 @@ def find(docs: DataFrame) -> DataFrame:
             for row in batch.column("found").to_pylist():
                 base = [(c["start"], c["kind"], c["end"]) for c in row if c["base"]]
                 open_ = [c for c in row if not c["base"]]
-                extra: list[tuple[int, int, int]] = []
+                extra: list[tuple[int, int, int]] = []  # disjoint, by start
                 if open_:
                     chance = model.probability(np.array([c["shape"] for c in open_]))
                     for p, c in sorted(zip(chance, open_), key=lambda x: (-x[0], x[1]["start"], x[1]["kind"])):
                         s, e = c["start"], c["end"]
-                        if p >= ACCEPT and not any(s < y and x < e for x, _, y in extra):
-                            extra.append((s, c["kind"], e))
+                        at = bisect_left(extra, (e,))
+                        if p >= ACCEPT and not (at and extra[at - 1][2] > s):
+                            extra.insert(at, (s, c["kind"], e))
                 counts.append([sum(k == kind for _, k, _ in base) for kind in range(4)])
                 digests.append(sha256(_joined(base).encode()).hexdigest())
                 spans.append(_joined(base + extra))
