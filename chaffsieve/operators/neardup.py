@@ -37,6 +37,8 @@ from chaffsieve.sources.staging import stage
 
 # Slack for sums of squares that should not exceed the budget or the threshold.
 _SLACK = 1e-9
+# The same for weights kept as floats.
+_FLOAT_SLACK = 1e-6
 _SIMILARITY_DIGITS = 9
 _END = -1
 
@@ -102,7 +104,7 @@ def _vector() -> Column:
 
 
 def postings(reps: DataFrame, threshold: float, cfg: AuditConfig) -> DataFrame:
-    """(sig, group_key, rep, copies, long, vec): where each representative looks for partners."""
+    """(sig, group_key, rep, copies, skipped, long, vec): where each representative looks for partners."""
     budget = 1.0 - threshold * threshold + _SLACK
     out = reps.withColumn("s", F.explode(_first_terms(budget)))
     for _ in range(cfg.signature_depth - 1):
@@ -113,6 +115,7 @@ def postings(reps: DataFrame, threshold: float, cfg: AuditConfig) -> DataFrame:
         "group_key",
         "rep",
         "copies",
+        F.col("s.skipped").cast("float").alias("skipped"),
         long.alias("long"),
         F.when(~long, _vector()).alias("vec"),
     )
@@ -145,14 +148,21 @@ def _split_hot(posted: DataFrame, cfg: AuditConfig) -> tuple[DataFrame, DataFram
     )
 
 
-def _meet(low: DataFrame, high: DataFrame, carried: list[str]) -> DataFrame:
-    """Pairs of different rows of a group that share a signature."""
+def _meet(low: DataFrame, high: DataFrame, threshold: float, carried: list[str]) -> DataFrame:
+    """Pairs of different rows of a group that may share a signature first.
+
+    In the tuple of their first common terms neither row uses the weight it
+    skipped, so x.y is at most the root of (1 - skipped) of one times that of
+    the other.  A pair that this rules out here shares no more elsewhere, or
+    meets there first.
+    """
     keys = ["sig", "low", "high"]
-    carried = ["group_key", "rep", "copies", *carried]
+    carried = ["group_key", "rep", "copies", "skipped", *carried]
     a = low.select(*keys, *[F.col(c).alias(f"{c}_a") for c in carried])
     b = high.select(*keys, *[F.col(c).alias(f"{c}_b") for c in carried])
     return a.join(b, keys).filter(
         (F.col("group_key_a") == F.col("group_key_b"))
+        & ((1 - F.col("skipped_a")) * (1 - F.col("skipped_b")) >= threshold * threshold - _FLOAT_SLACK)
         # Within one block each pair shows up in both orders, across blocks in one.
         & ((F.col("rep_a") < F.col("rep_b")) | (F.col("low") < F.col("high")))
     )
@@ -169,13 +179,13 @@ def similar_pairs(reps: DataFrame, threshold: float, cfg: AuditConfig) -> DataFr
         return compared.filter(F.col("similarity") >= threshold).select(*ids, "similarity")
 
     short = ~F.col("long")
-    pairs = over_threshold(_meet(low.filter(short), high.filter(short), ["vec"]))
+    pairs = over_threshold(_meet(low.filter(short), high.filter(short), threshold, ["vec"]))
     if posted.filter("long").limit(1).count() == 0:
         return pairs
 
     met = (
-        _meet(low.filter("long"), high, [])
-        .unionByName(_meet(low.filter(short), high.filter("long"), []))
+        _meet(low.filter("long"), high, threshold, [])
+        .unionByName(_meet(low.filter(short), high.filter("long"), threshold, []))
         .select(*ids)
         .distinct()
     )
