@@ -30,11 +30,12 @@ def test_held_out_accuracy(spark):
 def test_scores_do_not_depend_on_neighbours(monkeypatch):
     texts = ["Hello world foo", "a a a a b", "x" * 3000, " lead and trail ", "", None, "é ü ñ " * 100]
     model = quality.Model(np.random.default_rng(1).normal(size=1 << quality.BUCKET_BITS), 0.1)
+    whole = model.scores(pa.array(texts))
     for piece in (1 << 19, 100, 10):
         monkeypatch.setattr(quality, "PIECE", piece)
         together = model.scores(pa.array(texts))
         alone = [model.scores(pa.array([t], pa.string()))[0] for t in texts]
-        assert np.array_equal(together, alone)
+        assert np.array_equal(together, alone) and np.allclose(together, whole)
     assert together[4] == together[5] == 1 / (1 + np.exp(-0.1))
 
 
@@ -69,3 +70,73 @@ def test_odd_rows(spark, odd_documents, no_documents):
     assert quality.score(no_documents, untrained).collect() == []
     scores = {r["score"] for r in quality.score(odd_documents, untrained).collect()}
     assert scores == {0.5}
+
+
+MASK = (1 << 64) - 1
+
+
+def finalised(h):
+    h = (h ^ (h >> 30)) * 0xBF58476D1CE4E5B9 & MASK
+    h = (h ^ (h >> 27)) * 0x94D049BB133111EB & MASK
+    return h ^ (h >> 31)
+
+
+def plain_slots(text):
+    """The slots of a text, feature by feature."""
+    from chaffsieve.llm.text64 import byte_values, hash_words
+
+    values = [int(v) for v in byte_values(True)]
+    shift = 64 - quality.BUCKET_BITS
+
+    def hashed(word):
+        data = np.frombuffer(word.encode(), np.uint8)
+        return int(hash_words(data, np.array([0]), np.array([len(data)]))[0])
+
+    def number(c):
+        first, *rest = c.encode()
+        h = values[first]
+        factor = 0xC2B2AE3D27D4EB4F
+        for b in rest:
+            h = (h * factor + values[b]) & MASK
+        return h
+
+    words = [w for w in __import__("re").split("[\x20\x09-\x0D]+", text) if w]
+    slots = [hashed(w) >> shift for w in words]
+    for x, y in zip(map(hashed, words), map(hashed, words[1:])):
+        h = 0x5851F42D4C957F2D if x == y else (x * 0x9FB21C651E98DF25 + y) & MASK
+        slots.append(finalised(h) >> shift)
+    for w in words:
+        padded = [number(c) for c in f" {w} "]
+        for n in quality.GRAMS:
+            for i in range(len(padded) - n + 1):
+                h = 0
+                for v in padded[i : i + n]:
+                    h = (h * 0xD1342543DE82EF95 + v) & MASK
+                slots.append(finalised((h + n) & MASK) >> shift)
+    return slots
+
+
+def test_a_score_is_that_of_the_mean_vector(monkeypatch):
+    texts = ["Hello WORLD hello", "été à la plage, déjà-vu", "日本語 と 中文", "x", "a a b a a", "", "one two " * 30 + "🙂🙂 end"]
+    rng = np.random.default_rng(3)
+    table = rng.normal(size=(1 << quality.BUCKET_BITS, quality.DIMS))
+    layer, bias = rng.normal(size=(2, quality.DIMS)), rng.normal(size=2)
+    for piece in (1 << 19, 50):
+        monkeypatch.setattr(quality, "PIECE", piece)
+        found = quality.fold(table, layer, bias).scores(pa.array(texts))
+        for text, score in zip(texts, found):
+            slots = plain_slots(text)
+            hidden = table[slots].mean(axis=0) if slots else np.zeros(quality.DIMS)
+            odds = np.exp(layer @ hidden + bias)
+            assert score == pytest.approx(odds[1] / odds.sum(), abs=1e-5)
+
+
+def test_one_id_with_very_many_texts_counts_a_bounded_number_of_times(spark, documents, monkeypatch):
+    texts = [(5, f"text number {i} of one id") for i in range(300)] + [(i, f"other {i}") for i in range(20, 60)]
+    docs = documents(texts)
+    labels = spark.createDataFrame([(i, i % 2) for _, i in enumerate([5, *range(20, 60)])], "doc_id bigint, quality int")
+    seen = []
+    plain = quality.train
+    monkeypatch.setattr(quality, "train", lambda d, y, seed=7: seen.append(len(d)) or plain(d, y, seed))
+    quality.fit(docs, labels, sample=20)
+    assert 30 < seen[0] < 130
