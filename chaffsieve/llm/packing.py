@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from chaffsieve.llm.tables import small_batches, whole_text
 from chaffsieve.llm.text64 import utf8
-from chaffsieve.llm.tokens import Ids, vocabulary_paths
+from chaffsieve.llm.tokens import byte_ids, vocabulary_paths
 
 WINDOW = 2048
 END_ID = 1
@@ -163,7 +163,7 @@ def pack(
     paths = vocabulary or vocabulary_paths()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Ids(*paths)
+        encoder = byte_ids(*paths)
         end = np.array([end_id], "<u4")
 
         def documents():

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from chaffsieve.llm.tables import meet, small_batches, whole_text
 from chaffsieve.llm.text64 import utf8
-from chaffsieve.llm.tokens import WordIds, word_vocabulary_path
+from chaffsieve.llm.tokens import word_ids, word_vocabulary_path
 from chaffsieve.sources.staging import scratch_root, stage
 
 END_ID = 1
@@ -216,7 +216,7 @@ def write_tokens(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, writer = WordIds(path_of), FileWriter(frame_ids)
+        encoder, writer = word_ids(path_of), FileWriter(frame_ids)
         end = np.array([end_id], "<u4")
         part, number = TaskContext.get().partitionId(), 0
         for batch in batches:

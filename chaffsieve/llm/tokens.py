@@ -25,6 +25,7 @@ VOCABULARY = "byte_bpe_50k"
 WORD_VOCABULARY = "word_bpe_49k"
 SLICE = 1 << 21  # bytes handled at once
 CACHED = 300_000  # segments a worker remembers, some 60 MB
+WORDS_CACHED = 600_000  # words are shorter
 
 # The two libraries split Latin text alike; other scripts go to the slower one,
 # whose ids are the definition.
@@ -83,6 +84,8 @@ def _cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 class Ids:
     """Encode slices of documents; remembers segments from call to call."""
 
+    cached = CACHED
+
     def __init__(self, definition: str, ranks: str):
         self.exact, self.fast = _encoders(definition, ranks)
         added = (t.content for t in self.exact.get_added_tokens_decoder().values())
@@ -116,14 +119,16 @@ class Ids:
         # Equal hashes must mean equal bytes: compare every segment with the first of its key.
         lengths = ends - starts
         first = starts[where][inverse]
-        own = np.repeat(starts - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
-        shift = np.repeat(first - starts, lengths)
-        same = np.array_equal(lengths, lengths[where][inverse]) and np.array_equal(
-            data[own + shift], data[own]
-        )
+        same = np.array_equal(lengths, lengths[where][inverse])
+        if same:
+            # The bytes of all segments, one after the other, here and at the first of each key.
+            at = np.arange(lengths.sum())
+            before = np.cumsum(lengths) - lengths
+            here = data if len(at) == len(data) else data[at + np.repeat(starts - before, lengths)]
+            same = np.array_equal(data[at + np.repeat(first - before, lengths)], here)
         if not same:
             where, inverse = np.arange(len(starts)), np.arange(len(starts))
-        if len(self.known) > CACHED:
+        if len(self.known) > self.cached:
             self.known.clear()
         blob, known = data.tobytes(), self.known
         raws = [blob[a:b] for a, b in zip(starts[where].tolist(), ends[where].tolist())]
@@ -181,6 +186,8 @@ class WordIds(Ids):
     .,;:!? that follows it, and no normalisation does, so segments end there.
     """
 
+    cached = WORDS_CACHED
+
     def __init__(self, definition: str):
         from tokenizers import Tokenizer
 
@@ -210,3 +217,14 @@ class WordIds(Ids):
 
 _STOPS = np.zeros(256, bool)
 _STOPS[np.frombuffer(b".,;:!?", np.uint8)] = True
+
+
+@cache
+def byte_ids(definition: str, ranks: str) -> Ids:
+    """One encoder per Python worker: what a task has seen helps the next."""
+    return Ids(definition, ranks)
+
+
+@cache
+def word_ids(definition: str) -> WordIds:
+    return WordIds(definition)
