@@ -27,6 +27,7 @@ SAMPLE = 2_000
 GRAM_BITS, WORD_BITS = 16, 16
 SWITCH = 8.0  # nats a change of language costs
 BLOCK = 64  # words a step of the blocked Viterbi handles
+PIECE = 1 << 19  # bytes of text scored at once
 MIN_SCORE = 0.3  # of a document the filter keeps
 SCRIPT_SHARE = 0.01  # of a language's words; a rarer script is foreign to it
 UNKNOWN = "und"
@@ -127,7 +128,8 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     small_batches(docs.sparkSession)
     labelled = docs.select("doc_id", "lang", "text").filter(learnable())
     sizes = stage(labelled.groupBy("lang").agg(F.count("*").alias("rows")), "languages")
-    share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.lit(sample << 20) / F.col("rows")
+    drawn = F.shiftrightunsigned(F.xxhash64("doc_id"), 4).cast("double") / float(1 << 60)
+    share = drawn < F.lit(float(sample)) / F.col("rows")
     picked = meet(labelled, sizes, ["lang"]).filter(share)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,39 +233,139 @@ def _no_letter(data: np.ndarray) -> bool:
     return not any(c.isalpha() for c in data.tobytes().decode("utf-8", "replace"))
 
 
-def _label(words: Words, model: Model) -> tuple[list, list, list]:
+class _Part:
+    """What is kept of a piece of a long text: where its words are, and how they came to their states."""
+
+    def __init__(self, words: Words, scores: np.ndarray, value: np.ndarray, before: int, switch: float):
+        position = np.concatenate(([0], np.cumsum((words.data & 0xC0) != 0x80)))
+        self.starts, self.ends = position[words.starts] + before, position[words.ends] + before
+        self.characters = int(position[-1])
+        self.lettered = words.scripts != 0
+        n, k = scores.shape
+        blocks = -(-n // BLOCK)
+        grid = np.zeros((BLOCK, blocks, k))
+        grid[np.arange(n) % BLOCK, np.arange(n) // BLOCK] = scores
+        step = lambda v, e: e + np.maximum(v, v.max(axis=-1, keepdims=True) - switch)
+        through = np.full((blocks, k, k), -1e18)
+        through[:, np.arange(k), np.arange(k)] = 0.0
+        for t in range(BLOCK):
+            through = step(through, grid[t][:, None, :])
+        enter = np.empty((blocks, k))
+        for r in range(blocks):
+            enter[r] = value - value.max()
+            value = (enter[r][:, None] + through[r]).max(axis=0)
+        self.value = value
+        # Small state numbers take a byte.
+        self.came = np.empty((BLOCK, blocks, k), np.int8 if k < 128 else np.int16)
+        self.origin = np.tile(np.arange(k), (blocks, 1))
+        current = enter
+        for t in range(BLOCK):
+            top = current.argmax(axis=1)[:, None]
+            stay = current >= np.take_along_axis(current, top, 1) - switch
+            self.came[t] = np.where(stay, np.arange(k), top)
+            self.origin = np.take_along_axis(self.origin, self.came[t].astype(np.int64), 1)
+            current = step(current, grid[t])
+
+    def states(self, last: int) -> tuple[np.ndarray, int]:
+        """(state of each word, state before the first) if the last word ends in ``last``."""
+        blocks = len(self.origin)
+        at_end = np.empty(blocks, np.int64)
+        for r in range(blocks - 1, -1, -1):
+            at_end[r] = last
+            last = int(self.origin[r, last])
+        out = np.empty((BLOCK, blocks), np.int64)
+        for t in range(BLOCK - 1, -1, -1):
+            out[t] = at_end
+            at_end = self.came[t][np.arange(blocks), at_end].astype(np.int64)
+        return out.T.ravel()[: len(self.starts)], last
+
+
+def _pieces(data: np.ndarray) -> Iterator[np.ndarray]:
+    """A long text in pieces that end with a word; a word longer than a piece counts as several."""
+    at = 0
+    while at < len(data):
+        end = min(at + PIECE, len(data))
+        blank = np.flatnonzero(_WHITE[data[end : end + PIECE]])
+        if len(blank):
+            end += int(blank[0])
+        elif end + PIECE >= len(data):
+            end = len(data)
+        else:
+            while data[end] & 0xC0 == 0x80:
+                end += 1
+        yield data[at:end]
+        at = end
+
+
+_WHITE = np.zeros(256, bool)
+_WHITE[[9, 10, 11, 12, 13, 32]] = True
+
+
+def _label_long(data: np.ndarray, model: Model, switch: float = SWITCH) -> tuple[str, float, list]:
+    """``_label`` of one long text, piece by piece: only back pointers are kept of all its words."""
+    parts, before = [], 0
+    value = np.zeros(len(model.languages))
+    for piece in _pieces(data):
+        words = Words(pa.array([piece.tobytes()], pa.binary()).cast(pa.string()))
+        if len(words.starts):
+            parts.append(_Part(words, model.scores(words), value, before, switch))
+            value = parts[-1].value
+        before += int(((piece & 0xC0) != 0x80).sum())
+    if not parts or _no_letter(data):
+        return UNKNOWN, 0.0, []
+    last, found = int(value.argmax()), []
+    for part in reversed(parts):
+        states, last = part.states(last)
+        found.append(states)
+    states = np.concatenate(found[::-1])
+    lettered, starts, ends = (np.concatenate([getattr(p, c) for p in parts]) for c in ("lettered", "starts", "ends"))
+    return _summary(states, lettered, starts, ends, model)
+
+
+def _summary(
+    states: np.ndarray, lettered: np.ndarray, starts: np.ndarray, ends: np.ndarray, model: Model
+) -> tuple[str, float, list]:
+    """Language, score and spans of one text from the states of its words."""
+    counts = np.bincount(states[lettered] if lettered.any() else states, minlength=len(model.languages))
+    top = int(counts.argmax())
+    turns = np.concatenate(([0], np.flatnonzero(np.diff(states)) + 1, [len(states)]))
+    spans = [
+        {"lang": model.languages[states[x]], "start": int(starts[x]), "end": int(ends[y - 1])}
+        for x, y in zip(turns[:-1], turns[1:])
+    ]
+    return model.languages[top], float(counts[top] / counts.sum()), spans
+
+
+def _label(words: Words, model: Model) -> list[tuple[str, float, list]]:
     """Language, score and spans (language, start, end in code points) of each text."""
     states = viterbi(model.scores(words), words.first) if model.languages else None
     lettered = words.scripts != 0
     position = np.concatenate(([0], np.cumsum((words.data & 0xC0) != 0x80)))
-    names, shares, spans = [], [], []
-    k = len(model.languages)
+    out = []
     ascii_letter = np.concatenate(([0], np.cumsum((_LOWER[words.data] >= 97) & (_LOWER[words.data] <= 122))))
     for i, (a, b) in enumerate(zip(words.first[:-1], words.first[1:])):
         lo, hi = words.offsets[i], words.offsets[i + 1]
         none = ascii_letter[lo] == ascii_letter[hi] and _no_letter(words.data[lo:hi])
-        if none or not k:
-            names.append(UNKNOWN)
-            shares.append(0.0)
-            spans.append([])
+        if none or not model.languages:
+            out.append((UNKNOWN, 0.0, []))
             continue
-        here, used = states[a:b], lettered[a:b]
-        counts = np.bincount(here[used] if used.any() else here, minlength=k)
-        top = int(counts.argmax())
-        names.append(model.languages[top])
-        shares.append(float(counts[top] / counts.sum()))
-        turns = np.concatenate(([0], np.flatnonzero(np.diff(here)) + 1, [b - a]))
-        spans.append(
-            [
-                {
-                    "lang": model.languages[here[x]],
-                    "start": int(position[words.starts[a + x]] - position[lo]),
-                    "end": int(position[words.ends[a + y - 1]] - position[lo]),
-                }
-                for x, y in zip(turns[:-1], turns[1:])
-            ]
-        )
-    return names, shares, spans
+        starts, ends = position[words.starts[a:b]] - position[lo], position[words.ends[a:b]] - position[lo]
+        out.append(_summary(states[a:b], lettered[a:b], starts, ends, model))
+    return out
+
+
+def label(column: pa.Array, model: Model) -> tuple[list, list, list]:
+    """Languages, scores and spans of the texts of a column, some PIECE bytes at a time."""
+    data, offsets = utf8(column)
+    out, doc = [], 0
+    while doc < len(column):
+        stop = max(doc + 1, int(np.searchsorted(offsets, offsets[doc] + PIECE, "right")) - 1)
+        if model.languages and offsets[stop] - offsets[doc] > PIECE:
+            out.append(_label_long(data[offsets[doc] : offsets[stop]], model))
+        else:
+            out += _label(Words(column.slice(doc, stop - doc)), model)
+        doc = stop
+    return tuple(map(list, zip(*out))) if out else ([], [], [])
 
 
 _SPANS = pa.list_(
@@ -285,7 +387,7 @@ def detect(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, shares, spans = _label(Words(batch.column("text")), shared.value)
+            names, shares, spans = label(batch.column("text"), shared.value)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -306,17 +408,19 @@ def detect(docs: DataFrame, model: Model) -> DataFrame:
 def drop_unknown_languages(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """``docs`` without texts that have no letter or no leading language, all columns kept.
 
-    A row goes if all rows of its doc_id are rejected.  Where no language can
-    be learned only texts without letters are told apart, and nothing goes.
+    Every row is judged by its own text, while that is at hand.  Where no
+    language can be learned only texts without letters are told apart, and
+    nothing goes.
     """
     model = fit(docs)
     if not model.languages:
         return docs
-    judged = detect(docs, model).select("doc_id", "lang_pred", "score")
-    bad = (F.col("lang_pred") == UNKNOWN) | (F.col("score") < min_score)
-    key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63)))
-    judged = judged.groupBy(key.alias("__rejected")).agg(F.min(bad).alias("bad"))
-    rejected = stage(judged.filter("bad").select("__rejected"), "rejected-languages")
-    return meet(docs.withColumn("__rejected", key), rejected, ["__rejected"], "left_anti").drop(
-        "__rejected"
-    )
+    small_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.arrow_udf("boolean")
+    def speaks(texts: pa.Array) -> pa.Array:
+        names, scores, _ = label(texts, shared.value)
+        return pa.array([n != UNKNOWN and s >= min_score for n, s in zip(names, scores)], pa.bool_())
+
+    return docs.filter(speaks(whole_text()))

@@ -98,3 +98,40 @@ def test_stage_drops_texts_without_letters(odd_documents):
     ids = [r["doc_id"] for r in kept.collect()]
     assert not {1, 2, 7, 8} & set(ids)
     assert ids.count(5) == 2 and {4, 6, 9} <= set(ids)
+
+
+def test_long_texts_are_labelled_piece_by_piece_as_if_whole(spark, model, monkeypatch):
+    import pyarrow as pa
+
+    texts = [r["text"] for r in table(spark, BASE, "documents").filter("n_chars < 6000").limit(60).collect()]
+    texts = [f"{a} {b}" for a, b in zip(texts[::2], texts[1::2])] + ["", None, "12 ?!", "  two  words ", "日本 語 " * 50]
+    whole = language.label(pa.array(texts, pa.string()), model)
+    for piece in (40, 700, 5000):
+        monkeypatch.setattr(language, "PIECE", piece)
+        assert language.label(pa.array(texts, pa.string()), model) == whole
+    monkeypatch.setattr(language, "PIECE", 64)
+    (names, _, _) = language.label(pa.array(["é" * 1000 + " ends here"]), model)
+    assert names[0] in model.languages
+
+
+def test_rows_without_an_id_are_judged_by_their_own_text(documents):
+    rows = [(None, "12 34 !!", "en", "s"), (None, "some words of a text", "en", "s"), (1, "more words here", "en", "s")]
+    kept = language.drop_unknown_languages(documents(rows)).collect()
+    assert sorted(r["text"] for r in kept) == ["more words here", "some words of a text"]
+
+
+def test_memory_of_a_long_text_is_bounded_by_its_pieces():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(0)
+    k = 40
+    slots = (1 << language.GRAM_BITS, 1 << language.WORD_BITS)
+    made = [rng.normal(size=(n, k)).astype(np.float32) for n in slots]
+    model = language.Model([f"l{i:02}" for i in range(k)], *made, np.full(k, 2, np.int64))
+    text = " ".join(f"word{i % 5000}" for i in range(700_000))  # 6 MB
+    tracemalloc.start()
+    language.label(pa.array([text]), model)
+    assert tracemalloc.get_traced_memory()[1] < 400 << 20
+    tracemalloc.stop()
