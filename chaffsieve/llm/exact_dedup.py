@@ -21,6 +21,7 @@ from chaffsieve.llm.tables import meet, small_batches, whole_text
 from chaffsieve.llm.text64 import utf8
 from chaffsieve.sources.staging import stage
 
+RUN = 4096  # how many copies of a row one array counts out
 CHUNK = 1 << 16
 PRIMES = (2147483647, 2147483629)
 BASES = (1103515245, 1566083941)
@@ -127,6 +128,15 @@ def _chunks(texts: DataFrame, chunk: int) -> DataFrame:
     return texts.mapInArrow(run, "id bigint, sha string, chunk_no bigint, body binary")
 
 
+def _counted_out(rows: DataFrame, n: str, name: str) -> DataFrame:
+    """Every row ``n`` times, numbered from 0 in ``name``; by runs, so that no array is long."""
+    zero, run = F.lit(0).cast("bigint"), F.lit(RUN).cast("bigint")
+    runs = rows.withColumn("__run", F.explode(F.sequence(zero, F.floor((F.col(n) - 1) / RUN))))
+    first = F.col("__run") * run
+    last = F.least(first + run, F.col(n).cast("bigint")) - 1
+    return runs.withColumn(name, F.explode(F.sequence(first, last))).drop("__run")
+
+
 def _same_text(docs: DataFrame, pairs: DataFrame, chunk: int) -> DataFrame:
     """Of ``pairs`` (id, sha, lead_id, lead_sha, salt), those (id, sha) whose text is that of the lead.
 
@@ -135,7 +145,7 @@ def _same_text(docs: DataFrame, pairs: DataFrame, chunk: int) -> DataFrame:
     """
     leads = stage(
         pairs.groupBy(F.col("lead_id").alias("id"), F.col("lead_sha").alias("sha")).agg(
-            F.collect_set("salt").alias("salts")
+            (F.max("salt") + 1).alias("salts")
         ),
         "leads",
     )
@@ -144,11 +154,11 @@ def _same_text(docs: DataFrame, pairs: DataFrame, chunk: int) -> DataFrame:
     members = meet(members, pairs, ["id", "sha"])
     bodies = _chunks(meet(texts, leads.select("id", "sha"), ["id", "sha"], "left_semi"), chunk)
     # Repeats of a lead are one and the same text.
-    bodies = meet(bodies, leads, ["id", "sha"]).select(
+    bodies = _counted_out(meet(bodies, leads, ["id", "sha"]), "salts", "salt").select(
         F.col("id").alias("lead_id"),
         F.col("sha").alias("lead_sha"),
         "chunk_no",
-        F.explode("salts").alias("salt"),
+        "salt",
         F.col("body").alias("lead_body"),
     )
     met = members.join(bodies.hint("merge"), ["lead_id", "lead_sha", "salt", "chunk_no"], "left")
@@ -211,16 +221,15 @@ def exact_groups(
     groups = found.groupBy("lead_id", "lead_sha").agg(F.sum("n").alias("group_size"))
     groups = stage(groups.filter("group_size > 1"), "groups")
     own = (F.col("id") == F.col("lead_id")) & (F.col("sha") == F.col("lead_sha"))
-    repeats = F.explode(F.sequence(F.lit(1).cast("bigint"), "n")).alias("repeat")
     known = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
     return (
-        meet(found, groups, ["lead_id", "lead_sha"], "left")
-        .select("*", own.alias("own"), repeats)
+        _counted_out(meet(found, groups, ["lead_id", "lead_sha"], "left"), "n", "repeat")
+        .withColumn("own", own)
         .select(
             known("id").alias("doc_id"),
             known("lead_id").alias("keep_id"),
             F.coalesce("group_size", F.lit(1)).cast("bigint").alias("group_size"),
-            (F.col("own") & (F.col("repeat") == 1)).alias("kept"),
+            (F.col("own") & (F.col("repeat") == 0)).alias("kept"),
             F.col("sha").alias("text_sha256"),
         )
     )

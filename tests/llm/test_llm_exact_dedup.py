@@ -73,3 +73,11 @@ def test_stage_keeps_one_row_per_text_and_all_columns(odd_documents, no_document
     assert len(rows) == len({t for _, t in rows})
     assert dict((t, i) for i, t in rows)["the same words twice over here"] == 6
     assert drop_exact_copies(no_documents).collect() == []
+
+
+def test_very_many_rows_of_one_id_are_counted_out_in_runs(documents, monkeypatch):
+    from chaffsieve.llm import exact_dedup
+
+    monkeypatch.setattr(exact_dedup, "RUN", 7)
+    rows = [(None, "same")] * 50 + [(1, "same"), (1, "other"), (2, "same")]
+    assert got(exact_groups(documents(rows), block=3)) == brute(rows)
