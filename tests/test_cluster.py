@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from chaffsieve import AuditConfig
 from chaffsieve.operators import cluster as km
 
-CFG = replace(AuditConfig(), k_min=2, k_max=4, restarts=1, fit_sample=60)
+CFG = replace(AuditConfig(), k_min=2, k_max=4, restarts=1)
 
 
 @pytest.fixture(scope="module")

@@ -15,7 +15,7 @@ from chaffsieve.sources import sinks
 from chaffsieve.sources.corpus import corpus_from_conversations, limit_rows, load_corpus
 from chaffsieve.streaming.features import enrich_stream
 
-CFG = replace(AuditConfig(), k_min=2, k_max=3, restarts=1, fit_sample=80)
+CFG = replace(AuditConfig(), k_min=2, k_max=3, restarts=1)
 
 TOPICS = [
     "Write a poem about the quiet sea",
@@ -124,7 +124,7 @@ def test_finished_audits_are_renamed_and_flagged_again(spark, corpus, tmp_path):
     before = {r["row_id"]: r for r in first.fact.collect()}
     again = reflag(spark, out, strict, views=False)
     for r in again.fact.collect():
-        assert r["flag_too_short"] == 1
+        assert r["flag_too_short"] == 1 and r["cluster_label"] == labels[r["cluster_id"]]
         assert (r["cluster_id"], r["duplicate_of"]) == (before[r["row_id"]]["cluster_id"], before[r["row_id"]]["duplicate_of"])
     stored = store_views(again.fact, CFG, "kept_")
     assert len(stored) == 9
