@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 
 from chaffsieve import AuditConfig
 from chaffsieve.plans.audit import audit, reflag, rename, store_views
+from chaffsieve.plans.stored_views import create_views
 from chaffsieve.sources.corpus import load_corpus
 from chaffsieve.sources.sinks import load_fact_table
 from chaffsieve.sources.staging import release
@@ -27,6 +28,8 @@ def main() -> None:
     ap.add_argument("--names", help="JSON map of cluster ids to names: rename a finished audit")
     ap.add_argument("--reflag", action="store_true", help="flag the saved rows of an audit again")
     ap.add_argument("--store-views", metavar="PREFIX", help="also save the views as tables")
+    ap.add_argument("--create-views", metavar="PREFIX", help="also create catalog views over the loaded table")
+    ap.add_argument("--resume", action="store_true", help="take over the stages a killed run finished")
     args = ap.parse_args()
 
     spark = SparkSession.builder.appName("corpus-audit").getOrCreate()
@@ -40,10 +43,12 @@ def main() -> None:
     else:
         raw = load_corpus(spark, args.corpus, args.order_key)
         result = audit(
-            raw, args.out, cfg, limit=args.limit, cluster=not args.skip_clustering, load=load
+            raw, args.out, cfg, limit=args.limit, cluster=not args.skip_clustering, load=load, resume=args.resume
         )
     if args.store_views is not None:
         store_views(result.fact, cfg, args.store_views)
+    if args.create_views is not None:
+        create_views(spark, args.table, cfg, args.create_views)
     result.baseline.show(truncate=False)
     result.report.show(truncate=False, vertical=True)
     for problem in result.problems:

@@ -11,13 +11,17 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 _LOCAL = "chaffsieve.scratch"
 
+# Paths of staged tables, in the order they were written.
+_written: list[str] = []
+
 # Staged tables that several callers share, by application and key.
 _shared: dict[tuple, DataFrame] = {}
 
@@ -48,9 +52,27 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found.getFileSystem(spark._jsc.hadoopConfiguration()).delete(found, True)
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside goes at the end: for work whose result is saved by then."""
+    before = len(_written)
+    try:
+        yield
+    finally:
+        for path in _written[before:]:
+            delete(spark, path)
+        del _written[before:]
+
+
 def stored_bytes(df: DataFrame) -> int:
     """What the planner takes for the size of ``df``: of a staged table, its files."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
@@ -73,9 +95,8 @@ def release(spark: SparkSession) -> None:
     app = spark.conf.get("spark.app.id", "")
     for key in [k for k in _shared if k[0] == app]:
         del _shared[key]
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    delete(spark, scratch_root(spark))
+    _written.clear()
     made = spark.conf.get(_LOCAL, None)
     if made:
         shutil.rmtree(made, ignore_errors=True)

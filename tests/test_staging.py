@@ -55,3 +55,19 @@ def test_staged_tables_keep_names_types_and_rows(spark):
     assert kept.dtypes == df.dtypes and kept.collect() == df.collect()
     path = kept.inputFiles()[0].removeprefix("file://").removeprefix("file:")
     assert scratch_root(spark) in path and os.path.exists(path)
+
+
+def test_passing_tables_go_when_their_work_is_done(spark):
+    from chaffsieve.sources.staging import passing, scratch_root, stage
+
+    def there(path):
+        found = spark._jvm.org.apache.hadoop.fs.Path(path)
+        return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
+
+    kept = stage(spark.range(3), "kept")
+    with passing(spark):
+        gone = stage(spark.range(5), "gone")
+        assert gone.count() == 5
+        [path] = {f.rsplit("/", 1)[0] for f in gone.inputFiles()}
+        assert there(path)
+    assert not there(path) and there(scratch_root(spark)) and kept.count() == 3
