@@ -58,6 +58,11 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(_rest(url), r"^[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def node_of(host: Column) -> Column:
+    """The node of the graph a host stands for: without the user and the port it may be written with."""
+    return F.regexp_replace(F.regexp_replace(host, r"^.*@", ""), r":[0-9]*$", "")
+
+
 def _suffixes(host: Column) -> Column:
     """a.b.c, b.c, c."""
     labels = F.split(host, r"\.")
@@ -96,16 +101,14 @@ def _ruled(pages: DataFrame, rules: list[Rule]) -> DataFrame:
 
 
 def host_edges(pages: DataFrame) -> DataFrame:
-    """(source, target, links) between different crawled hosts."""
-    here = host_of(F.col("url")).alias("source")
+    """(source, target, links) between different crawled hosts, users and ports left out."""
+    here = node_of(host_of(F.col("url"))).alias("source")
     hosts = stage(pages.select(here).distinct().filter("source <> ''"), "hosts")
     known = hosts.withColumnRenamed("source", "target")
     found = pages.select(
         here, F.explode(F.array_distinct(F.regexp_extract_all("html", F.lit(_LINK), F.lit(1)))).alias("target")
     )
-    # Drop user names and ports, which a link's authority may carry.
-    target = F.regexp_replace(F.regexp_replace("target", r"^.*@", ""), r":[0-9]*$", "")
-    found = found.select("source", F.translate(target, _UPPER, _LOWER).alias("target"))
+    found = found.select("source", F.translate(node_of(F.col("target")), _UPPER, _LOWER).alias("target"))
     links = found.filter("source <> '' AND source <> target").groupBy("source", "target").agg(
         F.count("*").alias("links")
     )
@@ -175,19 +178,20 @@ def judge(pages: DataFrame, rules: list[Rule], threshold: float = THRESHOLD) ->
     """Per row of ``pages``: page_id, host, path, rule, verdict.
 
     A rule fits its host and all subdomains if the path begins with the
-    rule's; the longest host and path together win.  A NULL url, or one
+    rule's; the longest host and path together win.  Hosts that differ in a
+    port are one in the graph, and apart for rules and in the result.  A NULL url, or one
     without ``://``, has an empty host and path, no rule, and is allowed: no
     host speaks against it.  A NULL html has no links.  Rows are judged one by
     one, repeated rows count as seeds of their own; an empty table gives no
     rows; other columns are ignored.
     """
-    ruled = _ruled(pages, rules)
-    seeds = ruled.filter("host <> ''").groupBy("host").agg(
+    ruled = _ruled(pages, rules).withColumn("node", node_of(F.col("host")))
+    seeds = ruled.filter("node <> ''").groupBy(F.col("node").alias("host")).agg(
         F.count(F.when(F.col("ruled") == "allow", 1)).alias("allowed"),
         F.count(F.when(F.col("ruled") == "block", 1)).alias("blocked"),
     )
     mass = propagate(stage(host_edges(pages), "edges"), stage(seeds, "host-seeds"))
-    bad = stage(mass.filter(F.col("distrust") > F.col("trust") * threshold).select("host", F.lit("block").alias("spread")), "blocked-hosts")
-    return meet(ruled, bad, ["host"], "left").select(
+    bad = stage(mass.filter(F.col("distrust") > F.col("trust") * threshold).select(F.col("host").alias("node"), F.lit("block").alias("spread")), "blocked-hosts")
+    return meet(ruled, bad, ["node"], "left").select(
         "page_id", "host", "path", "rule", F.coalesce("ruled", "spread", F.lit("allow")).alias("verdict")
     )

@@ -118,3 +118,14 @@ def test_seeds_elsewhere_change_no_verdict(spark):
     pages = spark.createDataFrame(chain, PAGES).union(apart)
     found = judge(pages, RULES).filter("page_id < 1000").collect()
     assert {r["page_id"] for r in found if r["verdict"] == "block"} == {i for i, _, _ in chain}
+
+
+def test_ports_and_users_do_not_part_a_host_from_its_links(spark):
+    rows = [(i, f"http://spam.com:8080/de/{i}", "") for i in range(20)]
+    rows = [(i, f"http://u@spam.com/de/{i}" if i % 2 else u, h) for i, u, h in rows]
+    rows += [(100, "http://farm.net:81/", '<a href="http://SPAM.com:8080/de/1">'), (101, "http://farm.net/x", "")]
+    plain = [(i, f"http://spam.com/de/{i}", "") for i in range(200, 220)]
+    found = {r["page_id"]: r for r in judge(spark.createDataFrame(rows + plain, PAGES), RULES).collect()}
+    assert found[100]["host"] == "farm.net:81" and found[101]["host"] == "farm.net"
+    assert found[100]["verdict"] == found[101]["verdict"] == "block"
+    assert found[200]["rule"] == "com/de/" and found[0]["rule"] is None
