@@ -16,7 +16,7 @@ from chaffsieve.llm.mixing import mixed_stream
 from chaffsieve.llm.near_dedup import drop_near_copies
 from chaffsieve.llm.packing import pack
 from chaffsieve.llm.tables import table
-from chaffsieve.sources.staging import scratch_root
+from chaffsieve.sources.staging import delete, passing, scratch_root
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,10 +57,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; the result of each is on disk before the next begins."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``; the result of each is on disk before the next begins.
+
+    What a stage needed on its way goes when it is done, and so does the
+    result of the stage before.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = f"{scratch_root(spark)}/pipeline-{name}-{uuid.uuid4().hex}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with passing(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            delete(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
