@@ -16,7 +16,9 @@ How pairs are found without comparing all rows of a group:
 3. Rows meeting in a signature are compared in the join, and of the pairs over
    the threshold only the best partner per row leaves the task.  Postings carry
    the vector for that; a row of unusually many terms would post a large vector
-   many times, so its pairs fetch vectors by row id instead.  A signature
+   many times, so its pairs leave as two ids: one row's terms as bits meet the
+   other's vector first, and only pairs that the weight on those terms still
+   allows fetch both vectors.  A signature
    posted very often is split into blocks that meet pairwise in different tasks.
 
 Nothing is sampled, capped or approximated.
@@ -39,6 +41,8 @@ from chaffsieve.sources.staging import stage
 _SLACK = 1e-9
 # The same for weights kept as floats.
 _FLOAT_SLACK = 1e-6
+# Longs that hold a row's terms as bits: 256 bytes.
+_BIT_WORDS = 32
 _SIMILARITY_DIGITS = 9
 _END = -1
 
@@ -168,6 +172,35 @@ def _meet(low: DataFrame, high: DataFrame, threshold: float, carried: list[str])
     )
 
 
+def _bit(rank: Column) -> Column:
+    return F.pmod(F.xxhash64(rank), F.lit(64 * _BIT_WORDS)).cast("int")
+
+
+def term_bits(ranks: Column) -> Column:
+    """A row's terms as bits of some longs; two terms may share one."""
+    bits = F.transform(ranks, _bit)
+    return F.transform(
+        F.sequence(F.lit(0), F.lit(_BIT_WORDS - 1)),
+        lambda word: F.aggregate(
+            F.filter(bits, lambda b: F.shiftright(b, 6) == word),
+            F.lit(0).cast("bigint"),
+            lambda held, b: held.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), b.bitwiseAND(F.lit(63)))),
+        ),
+    )
+
+
+def _weight_on(vector: Column, bits: Column) -> Column:
+    """Squared weight of a vector on terms that may be among those of ``bits``."""
+
+    def add(total: Column, term: Column) -> Column:
+        bit = _bit(term["key"])
+        word = F.get(bits, F.shiftright(bit, 6))
+        there = F.call_function("shiftright", word, bit.bitwiseAND(F.lit(63))).bitwiseAND(F.lit(1).cast("bigint")) == 1
+        return total + F.when(there, term["value"] * term["value"]).otherwise(0.0)
+
+    return F.aggregate(F.map_entries(vector), F.lit(0.0), add)
+
+
 def similar_pairs(reps: DataFrame, threshold: float, cfg: AuditConfig) -> DataFrame:
     """(rep_a, copies_a, rep_b, copies_b, similarity), one order per pair; pairs may repeat."""
     posted = stage(postings(reps, threshold, cfg), "postings")
@@ -189,10 +222,17 @@ def similar_pairs(reps: DataFrame, threshold: float, cfg: AuditConfig) -> DataFr
         .select(*ids)
         .distinct()
     )
+    # What of b's weight lies on terms that a may have bounds the product, and a's terms
+    # as bits are a fraction of its vector; vectors travel for the few pairs left.
+    marks = reps.select(F.col("rep").alias("rep_a"), term_bits(F.col("ranks")).alias("bits_a"))
     vec = reps.select("rep", _vector().alias("vec"))
-    fetched = met.join(vec.withColumnsRenamed({"rep": "rep_a", "vec": "vec_a"}), "rep_a").join(
-        vec.withColumnsRenamed({"rep": "rep_b", "vec": "vec_b"}), "rep_b"
+    likely = (
+        met.join(marks, "rep_a")
+        .join(vec.withColumnsRenamed({"rep": "rep_b", "vec": "vec_b"}), "rep_b")
+        .filter(_weight_on(F.col("vec_b"), F.col("bits_a")) >= threshold * threshold - _FLOAT_SLACK)
+        .drop("bits_a")
     )
+    fetched = likely.join(vec.withColumnsRenamed({"rep": "rep_a", "vec": "vec_a"}), "rep_a")
     return pairs.unionByName(over_threshold(fetched))
 
 
