@@ -19,7 +19,7 @@ from chaffsieve.operators.neardup import near_duplicates
 from chaffsieve.plans import queries as q
 from chaffsieve.plans.audit import enrich
 from chaffsieve.plans.views import VIEWS
-from chaffsieve.sources.corpus import corpus_mixed
+from chaffsieve.sources.corpus import corpus_from_documents, corpus_mixed
 from chaffsieve.sources.staging import release, stage
 
 
@@ -56,6 +56,8 @@ def main() -> None:
     enriched = timed("enrich", lambda: stage(enrich(corpus_mixed(spark, base), q.CFG), "bench"))
     timed("rule_baseline", lambda: ql.rule_baseline(enriched))
     timed("near_duplicates", lambda: near_duplicates(enriched, q.CFG))
+    whole = stage(enrich(corpus_from_documents(spark, base, whole=True), q.CFG), "bench-whole")
+    timed("near_duplicates_whole_text", lambda: near_duplicates(whole, q.CFG))
     timed("readability_outliers", lambda: ql.flag_readability_outliers(enriched, q.CFG))
     timed("assign_clusters", lambda: q.QUERIES["assign_clusters"](spark, base))
     timed("fit_kmeans", lambda: q.QUERIES["fit_kmeans"](spark, base))

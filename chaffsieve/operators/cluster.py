@@ -239,8 +239,10 @@ def exemplars(
         "row_id", "cluster_id", _squared_gap().alias("gap")
     )
     top = top_k_per_group(near, ["cluster_id"], ["gap", "row_id"], "row_id", cfg.exemplars, cfg)
-    # At most `exemplars` rows per cluster from here on.
-    named = texts.select("row_id", "instruction").join(F.broadcast(top), "row_id").select(
+    # At most `exemplars` rows per cluster from here on, of any number of clusters.
+    top = stage(top, "nearest-members")
+    side = F.broadcast(top) if top.count() <= cfg.broadcast_rows else top
+    named = texts.select("row_id", "instruction").join(side, "row_id").select(
         "cluster_id",
         F.struct("position", preview(F.col("instruction"), cfg.exemplar_chars).alias("text")).alias(
             "item"

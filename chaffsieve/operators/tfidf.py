@@ -65,10 +65,13 @@ def _most_frequent(counted: DataFrame, k: int, cfg: AuditConfig) -> DataFrame:
     negative = counted.withColumn("__down", -F.col("total_tf"))
     ladder = value_ladder(negative, ["group_key"], ["__down"])
     cut = ladder.filter((F.col("n_before") < k) & (F.col("n_before") + F.col("n") >= k)).select(
-        "group_key", (-F.col("__down")).alias("cut"), (k - F.col("n_before")).alias("room")
+        "group_key",
+        (-F.col("__down")).alias("cut"),
+        (k - F.col("n_before")).alias("room"),
+        F.col("n_total").alias("copies"),
     )
-    # One row per group.
-    marked = counted.join(F.broadcast(cut), "group_key", "left")
+    # One row per group, of which there may be many.
+    marked = keyed_lookup(counted, stage(cut, "cuts"), ["group_key"], "copies", cfg, "left")
     above = marked.filter(F.col("cut").isNull() | (F.col("total_tf") > F.col("cut")))
     tied = top_k_per_group(
         marked.filter(F.col("total_tf") == F.col("cut")), ["group_key"], [F.asc("term")], "term", k, cfg

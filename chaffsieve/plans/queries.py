@@ -7,6 +7,7 @@ from collections.abc import Callable
 from dataclasses import replace
 
 import numpy as np
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -147,6 +148,21 @@ def _assigned(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
     return km.assign_to_centroids(points, centroids), centroids
 
 
+def _encoder():
+    """Stands in for a user's sentence model: characters, and a letter's number."""
+
+    def predict(texts):
+        return np.array([[len(t), t.count("e") + 1] for t in texts], dtype=np.float32)
+
+    return predict
+
+
+def _model_vectors(spark: SparkSession, base: str) -> DataFrame:
+    found = km.model_vectors(enriched(spark, base), _encoder, CFG)
+    x = vector_to_array("features")
+    return found.select("row_id", F.round(x[0], 6).alias("x0"), F.round(x[1], 6).alias("x1"))
+
+
 def _members(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
     found, centroids = _assigned(spark, base)
     points = _points(spark, base).drop("cluster_id")
@@ -624,6 +640,7 @@ QUERIES: dict[str, Query] = {
     "silhouette": _silhouette,
     "cluster_exemplars": _exemplars,
     "cluster_exemplars_whole_text": lambda s, d: _exemplars(s, d, whole=True),
+    "model_vectors": _model_vectors,
     "fit_kmeans": _fit,
     "sweep_k": _sweep,
     "kmeans_steps": _kmeans_steps,

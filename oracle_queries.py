@@ -638,6 +638,11 @@ def oracle_sql() -> dict[str, str]:
                 (SELECT round(sum(x * x), 6) FROM coords) AS squares
             FROM range({CFG.k_min}, {CFG.k_max + 1}) AS swept(k)""",
         "kmeans_steps": lloyd(STEPS),
+        "model_vectors": f"""WITH {cleaned(MIXED)}, raw AS (
+                SELECT row_id, length(instruction)::DOUBLE AS a,
+                       (length(instruction) - length(replace(instruction, 'e', '')) + 1)::DOUBLE AS b FROM cleaned)
+            SELECT row_id, round(a / sqrt(a * a + b * b), 6) AS x0, round(b / sqrt(a * a + b * b), 6) AS x1
+            FROM raw""",
         "loaded_corpus": f"""SELECT order_key, instruction, input, md5(output) AS output_md5 FROM ({MIXED})""",
         "quantiles_by_sketch": on_features(
             f"""SELECT cluster_id, share, n, min(output_word_count) AS words FROM (
