@@ -80,3 +80,27 @@ def test_odd_rows(spark):
     turns = spark.createDataFrame(rows, TURNS).withColumns({c: F.lit(0) for c in ("block", "formatted", "loss")})
     assert got(chat.read_back(chat.format_conversations(turns))) == want(rows)
     assert chat.read_back(chat.format_conversations(turns.limit(0))).collect() == []
+
+
+DIGEST_SQL = """
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(coalesce(role, '') || chr(10) || coalesce(text, '') || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256
+FROM conversations GROUP BY conv_id
+"""
+
+
+def test_digests_equal_sql_on_the_given_conversations(spark):
+    import os
+
+    import duckdb
+    import pytest
+
+    path = "/root/testdata/sf0.01/conversations.parquet"
+    if not os.path.exists(path):
+        pytest.skip("no test data")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{path}')")
+    want = {r[0]: tuple(r[1:]) for r in con.execute(DIGEST_SQL).fetchall()}
+    assert got(chat.read_back(chat.format_conversations(spark.read.parquet(path)))) == want

@@ -129,3 +129,42 @@ def test_ports_and_users_do_not_part_a_host_from_its_links(spark):
     assert found[100]["host"] == "farm.net:81" and found[101]["host"] == "farm.net"
     assert found[100]["verdict"] == found[101]["verdict"] == "block"
     assert found[200]["rule"] == "com/de/" and found[0]["rule"] is None
+
+
+RULE_SQL = r"""
+WITH split AS (
+    SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+    FROM pages
+), parted AS (
+    SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                              'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM split
+), fits AS (
+    SELECT page_id, r.host || r.path AS rule, verdict,
+           row_number() OVER (PARTITION BY page_id ORDER BY length(r.host || r.path) DESC) AS place
+    FROM parted p JOIN rules r ON (p.host = r.host OR p.host LIKE '%.' || r.host) AND starts_with(p.path, r.path)
+)
+SELECT page_id, host, path, rule, verdict FROM parted LEFT JOIN (FROM fits WHERE place = 1) USING (page_id)
+"""
+
+
+def test_rules_equal_sql_on_the_given_pages(spark):
+    import os
+
+    import duckdb
+    import pytest
+
+    path = "/root/testdata/sf0.01/pages.parquet"
+    if not os.path.exists(path):
+        pytest.skip("no test data")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{path}')")
+    con.execute("CREATE TABLE rules (host VARCHAR, path VARCHAR, verdict VARCHAR)")
+    con.executemany("INSERT INTO rules VALUES (?, ?, ?)", [(r.host, r.path, r.verdict) for r in RULES])
+    want = {r[0]: r[1:] for r in con.execute(RULE_SQL).fetchall()}
+    found = judge(spark.read.parquet(path), RULES).collect()
+    assert len(found) == len(want) > 100
+    for r in found:
+        host, page_path, rule, verdict = want[r["page_id"]]
+        assert (r["host"], r["path"], r["rule"]) == (host, page_path, rule)
+        assert r["verdict"] == verdict or rule is None
