@@ -61,11 +61,13 @@ def hashed_vectors(df: DataFrame, cfg: AuditConfig) -> DataFrame:
     """Without a model: hashed TF-IDF of the cleaned instruction.
 
     Words that share a bucket of ``embed_dims`` count as one.  Texts without
-    words give zero vectors; they stay unassigned.
+    words give zero vectors; they stay unassigned.  No text gives no vector.
     """
     words = df.select(
         "row_id", F.filter(F.split("instruction_clean", " "), lambda w: w != "").alias("words")
     )
+    if words.isEmpty():
+        return words.select("row_id", array_to_vector(F.array().cast("array<double>")).alias("features"))
     steps = Pipeline(
         stages=[
             HashingTF(inputCol="words", outputCol="tf", numFeatures=cfg.embed_dims),

@@ -76,14 +76,14 @@ def test_a_killed_audit_goes_on_after_its_last_stage(spark, corpus, tmp_path):
     assert audit(corpus.filter("order_key < 40"), out, CFG, cluster=False, views=False, resume=True).reused == []
 
 
-@pytest.mark.parametrize("texts", [["你好", "再见"] * 6, ["one same text"] * 9, ["red apple", "blue sky"] * 5])
+@pytest.mark.parametrize("texts", [["你好", "再见"] * 6, ["one same text"] * 9, ["red apple", "blue sky"] * 5, []])
 def test_an_audit_survives_what_cannot_be_clustered(spark, raw, tmp_path, texts):
     result = audit(raw([(t, "", "An answer of some words.") for t in texts]), str(tmp_path), AuditConfig(), views=False)
     assert any(p.startswith("clustering: ") for p in result.problems)
     found = [r["cluster_id"] for r in result.fact.collect()]
     # Words that every row has weigh nothing, so equal texts have no vector either.
-    assert len(found) == len(texts) and (set(found) == {-1}) == ("red apple" not in texts)
-    assert len(set(found)) == (2 if "red apple" in texts else 1)
+    assert len(found) == len(texts) and (set(found) <= {-1}) == ("red apple" not in texts)
+    assert len(set(found)) == (2 if "red apple" in texts else min(len(texts), 1))
 
 
 def test_stored_views_see_later_loads(spark, corpus):
