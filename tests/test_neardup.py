@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from chaffsieve import AuditConfig
 from chaffsieve.operators.neardup import flag_near_duplicates, near_duplicates
 from chaffsieve.operators.quality import root_of
+from chaffsieve.sources import staging
 
 CFG = AuditConfig()
 
@@ -176,3 +177,16 @@ def test_result_does_not_depend_on_partitioning(spark):
         for n in (1, 5)
     }
     assert len(seen) == 1
+
+
+def test_long_rows_travel_once(spark):
+    """What is staged on the way has no row per term or pair, however long the texts are."""
+    rng = random.Random(3)
+    words = [f"{a}{b}{c}" for a in "bcdfgh" for b in "aeiou" for c in "klmn"]
+    rows = [(i, 0, " ".join(rng.choices(words, k=200))) for i in range(1, 121)]
+    df = spark.createDataFrame(rows, "row_id bigint, cluster_id int, instruction_clean string")
+    before = len(staging._written)
+    near_duplicates(df, replace(CFG, inline_terms=9)).collect()
+    made = {p.rsplit("/", 1)[1]: spark.read.parquet(p).count() for p in staging._written[before:]}
+    words_only = ("vocabulary", "term-counts", "cuts")
+    assert max(n for name, n in made.items() if not name.startswith(words_only)) <= len(rows)
