@@ -629,9 +629,9 @@ def oracle_sql() -> dict[str, str]:
             "SELECT row_id, instruction_clean = '' AS is_unassigned FROM featured"
         ),
         "fit_kmeans": CENTROIDS
-        + """SELECT 7::BIGINT AS n_clusters, count(DISTINCT row_id) AS n_rows,
-                count(DISTINCT row_id) AS at_nearest, count(DISTINCT row_id) AS rows_fitted,
-                round(sum(x * x), 6) AS squares FROM coords""",
+        + """SELECT vec_id AS row_id, true AS at_nearest, 7::BIGINT AS n_clusters,
+                (SELECT count(DISTINCT row_id) FROM coords) AS rows_fitted,
+                (SELECT round(sum(x * x), 6) FROM coords) AS squares FROM embeddings""",
         "sweep_k": CENTROIDS
         + f"""SELECT k, true AS score_in_range, 1 AS n_best,
                 (SELECT count(*) FROM embeddings) AS rows_assigned,
