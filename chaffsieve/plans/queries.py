@@ -520,10 +520,10 @@ def _incremental(spark: SparkSession, base: str) -> DataFrame:
 
 
 def _streamed(spark: SparkSession, base: str) -> DataFrame:
-    """Exact duplicates of a corpus that arrives in three files."""
+    """Exact duplicates of a corpus that arrives in three loads."""
     root, folder = _folder(spark, "stream-state"), _folder(spark, "stream-in")
     for part in _halves(spark, base):
-        part.drop("cluster_id").coalesce(1).write.mode("append").parquet(folder)
+        part.drop("cluster_id").write.mode("append").parquet(folder)
         increments.append_stream(spark, folder, root, CFG).awaitTermination()
     return increments.read_rows(spark, root).select("row_id", "is_exact_duplicate")
 

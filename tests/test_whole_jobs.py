@@ -19,3 +19,21 @@ def test_fit_returns_every_row(spark):
     found = QUERIES["fit_kmeans"](spark, base).collect()
     assert sorted(r["row_id"] for r in found) == list(range(40))
     assert all(r["at_nearest"] and r["rows_fitted"] == 40 for r in found)
+
+
+def test_streamed_loads_are_written_by_many_tasks(spark):
+    base = f"{scratch_root(spark)}/stream-tables"
+    texts = [(i, f"Line {i % 7}. Words of row {i}.", "en", "s", 9) for i in range(60)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    docs.repartition(6).write.parquet(f"{base}/documents.parquet")
+    turns = [(1, 0, "user", "Ask."), (1, 1, "assistant", "Reply.")]
+    spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string").write.parquet(
+        f"{base}/conversations.parquet"
+    )
+    spark.createDataFrame([(1, "http://a.b/c", "<p>x</p>")], "page_id bigint, url string, html string").write.parquet(
+        f"{base}/pages.parquet"
+    )
+    before = set(glob.glob(f"{scratch_root(spark)}/stream-in-*/part-*"))
+    found = QUERIES["streamed_duplicates"](spark, base).collect()
+    assert len(found) == 62
+    assert len(set(glob.glob(f"{scratch_root(spark)}/stream-in-*/part-*")) - before) > 3
