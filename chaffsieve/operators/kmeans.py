@@ -456,8 +456,12 @@ class _Sums:
 _PASS = "model int, cost double, sizes binary, sums binary, looked_at bigint"
 
 
-def one_pass(held: Balls, models: list[np.ndarray]) -> tuple[list[Model], int]:
-    """(what one scan of the balls finds for every set of centres, how many distances it took)."""
+# Rows per model that a pass may send to the driver without summing them first.
+_UNSUMMED = 4
+
+
+def pass_rows(held: Balls, models: list[np.ndarray]) -> DataFrame:
+    """What one scan of the balls finds: a row per model, or up to _UNSUMMED where there are few tasks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = _Sums(models)
@@ -487,9 +491,12 @@ def one_pass(held: Balls, models: list[np.ndarray]) -> tuple[list[Model], int]:
             yield _found(m, *total)
 
     found = held.rows.mapInArrow(run, _PASS)
-    if held.parts > len(models):
-        found = found.repartition("model").mapInArrow(add_up, _PASS)
-    found = found.collect()
+    return found.repartition("model").mapInArrow(add_up, _PASS) if held.parts > _UNSUMMED else found
+
+
+def one_pass(held: Balls, models: list[np.ndarray]) -> tuple[list[Model], int]:
+    """(what one scan of the balls finds for every set of centres, how many distances it took)."""
+    found = pass_rows(held, models).collect()
     out = [Model(len(c), c, np.zeros(len(c), np.int64), np.zeros_like(c), 0.0) for c in models]
     for r in sorted(found, key=lambda r: r["cost"]):
         k, d = models[r["model"]].shape

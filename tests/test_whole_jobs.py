@@ -4,6 +4,7 @@ import glob
 
 import numpy as np
 
+from chaffsieve.operators import cluster as km
 from chaffsieve.operators import kmeans
 from chaffsieve.plans.queries import QUERIES
 from chaffsieve.sources.staging import scratch_root
@@ -37,3 +38,16 @@ def test_streamed_loads_are_written_by_many_tasks(spark):
     found = QUERIES["streamed_duplicates"](spark, base).collect()
     assert len(found) == 62
     assert len(set(glob.glob(f"{scratch_root(spark)}/stream-in-*/part-*")) - before) > 3
+
+
+def test_a_pass_sends_a_row_per_model(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, [float(x) for x in rng.normal(size=4)]) for i in range(64)]
+    points = km.precomputed_vectors(spark.createDataFrame(rows, "id bigint, v array<double>"), "id", "v")
+    packed = kmeans.blocks(points.repartition(8))
+    starts = [rng.normal(size=(3, 4)) for _ in range(9)]
+    held = kmeans.balls(packed, starts[0], ball_rows=4)
+    many = kmeans.Balls(held.rows.repartition(8).localCheckpoint(), 8)
+    assert kmeans.pass_rows(many, starts).count() == len(starts)
+    models, _ = kmeans.one_pass(many, starts)
+    assert [int(m.sizes.sum()) for m in models] == [64] * len(starts)
