@@ -21,19 +21,20 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chaffsieve.config import AuditConfig
-from chaffsieve.sources.staging import stage
+from chaffsieve.sources.staging import small_batches, stage
 
 BALL_BYTES = 1 << 20  # of points in a ball, at most
 BALL_ROWS = 512
 BALLS_AT_ONCE = 64
 TASK_BYTES = 64 << 20
 SMALL_TASK_BYTES = 1 << 20
+# Readers of blocks and balls hold this much at a time.
+GROUP_BYTES = 8 << 20
 # Numbers held at a time while points meet centres, some 32 MB.
 _CELLS = 1 << 22
 _SLACK = 1e-9
@@ -203,7 +204,8 @@ def blocks(points: DataFrame) -> DataFrame:
                 yield _batch([_block(len(x), x.shape[1], ids[at : at + len(x)], x)], _BLOCK_SCHEMA)
 
     rows = points.select(F.col("row_id").cast("bigint"), F.unwrap_udt("features").alias("features"))
-    return stage(rows.mapInArrow(run, _BLOCKS), "point-blocks")
+    small_batches(points.sparkSession)
+    return stage(rows.mapInArrow(run, _BLOCKS), "point-blocks", GROUP_BYTES)
 
 
 @dataclass
@@ -269,7 +271,7 @@ def balls(packed: DataFrame, pivots: np.ndarray, ball_rows: int = BALL_ROWS) ->
     order = ["pivot", "gap", "row_id"]
     placed = packed.mapInArrow(place, "pivot int, gap double, row_id bigint, data binary")
     made = placed.repartitionByRange(int(parts), *order).sortWithinPartitions(*order).mapInArrow(pack, _BALLS)
-    return Balls(stage(made, "balls"), int(parts))
+    return Balls(stage(made, "balls", GROUP_BYTES), int(parts))
 
 
 # ---- seeds ---------------------------------------------------------------------
@@ -597,14 +599,12 @@ def fit_many(points: DataFrame, jobs: Iterable[tuple[int, int]], cfg: AuditConfi
     without points there are no models.
     """
     jobs = list(jobs)
-    packed = blocks(points).persist(StorageLevel.MEMORY_AND_DISK)
+    # Read again from its files in every pass: cached, a partition is one value of the heap.
+    packed = blocks(points)
     vectors, weights = candidates(packed, cfg.seed_factor * max(k for k, _ in jobs), cfg.seed_rounds, cfg.seed)
     if not len(vectors):
-        packed.unpersist()
         return [], []
     held = balls(packed, vectors)
-    packed.unpersist()
-    held.rows.persist(StorageLevel.MEMORY_AND_DISK)
     starts = [seeds(vectors, weights, k, cfg.seed * 1000 + k * 100 + r) for k, r in jobs]
     models = advance(held, starts, cfg.kmeans_max_iter, cfg.kmeans_tolerance)
     best: dict[int, int] = {}
@@ -615,5 +615,4 @@ def fit_many(points: DataFrame, jobs: Iterable[tuple[int, int]], cfg: AuditConfi
     scores: list[float | None] = [None] * len(models)
     for i, score in zip(cheapest, silhouettes(held, [models[i] for i in cheapest])):
         scores[i] = score
-    held.rows.unpersist()
     return models, scores

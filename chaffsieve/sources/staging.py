@@ -51,11 +51,18 @@ def scratch_root(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/chaffsieve/{spark.conf.get('spark.app.id', 'session')}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once and read it back as a table."""
+def stage(df: DataFrame, label: str, group_bytes: int | None = None) -> DataFrame:
+    """Write ``df`` once and read it back as a table.
+
+    Readers hold a row group of long values at a time; ``group_bytes`` bounds it.
+    """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    writer = df.write
+    if group_bytes is not None:
+        # Sizes are looked at every hundred rows otherwise.
+        writer = writer.options(**{"parquet.block.size": group_bytes, "parquet.page.size.row.check.min": 1})
+    writer.parquet(path)
     _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 

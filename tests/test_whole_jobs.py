@@ -3,10 +3,12 @@
 import glob
 
 import numpy as np
+import pyarrow.parquet as pq
 
 from chaffsieve.operators import cluster as km
 from chaffsieve.operators import kmeans
 from chaffsieve.plans.queries import QUERIES
+from chaffsieve.sources import staging
 from chaffsieve.sources.staging import scratch_root
 
 
@@ -51,3 +53,15 @@ def test_a_pass_sends_a_row_per_model(spark):
     assert kmeans.pass_rows(many, starts).count() == len(starts)
     models, _ = kmeans.one_pass(many, starts)
     assert [int(m.sizes.sum()) for m in models] == [64] * len(starts)
+
+
+def test_points_are_read_in_small_groups(spark):
+    rows = spark.range(6000).selectExpr("id", "transform(sequence(1, 512), i -> sin(id * 512 + i)) AS v").coalesce(1)
+    packed = kmeans.blocks(km.precomputed_vectors(rows, "id", "v"))
+    path = next(p for p in reversed(staging._written) if "point-blocks" in p)
+    for file in glob.glob(f"{path}/*.parquet"):
+        found = pq.ParquetFile(file).metadata
+        sizes = [found.row_group(i).total_byte_size for i in range(found.num_row_groups)]
+        assert max(sizes) < 20 << 20, sizes
+    assert packed.selectExpr("sum(n)").first()[0] == 6000
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 256
