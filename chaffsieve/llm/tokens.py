@@ -16,6 +16,7 @@ import base64
 import re
 from collections.abc import Iterator
 from functools import cache
+from struct import pack
 
 import numpy as np
 
@@ -78,7 +79,9 @@ def _cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     )
     right = plain(after) | ((after >= 0xC3) & (after < 0xE0)) | ((after >= 0xE4) & (after < 0xEE))
     starts = offsets[:-1][np.diff(offsets) > 0]
-    return np.unique(np.concatenate((space[left & right], starts)))
+    # Two ascending runs: a stable sort merges them.
+    cuts = np.sort(np.concatenate((space[left & right], starts)), kind="stable")
+    return cuts[np.diff(cuts, prepend=-1) > 0]
 
 
 class Ids:
@@ -92,17 +95,14 @@ class Ids:
         self.not_fast = re.compile("|".join([_BEYOND_LATIN.pattern, *map(re.escape, added)]))
         self.known: dict[bytes, bytes] = {}
 
-    def segment(self, raw: bytes) -> bytes:
-        text = raw.decode("utf-8", "replace")
-        if self.not_fast.search(text):
-            ids = self.exact.encode(text, add_special_tokens=False).ids
-        else:
-            ids = self.fast.encode_ordinary(text)
-        return np.array(ids, "<u4").tobytes()
-
     def segments(self, raws: list[bytes]) -> list[bytes]:
         """The ids of some segments, each as bytes."""
-        return [self.segment(raw) for raw in raws]
+        not_fast, fast, exact, out = self.not_fast.search, self.fast.encode_ordinary, self.exact.encode, []
+        for raw in raws:
+            text = raw.decode("utf-8", "replace")
+            ids = exact(text, add_special_tokens=False).ids if not_fast(text) else fast(text)
+            out.append(pack(f"<{len(ids)}I", *ids))
+        return out
 
     def bounds(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where segments start and end."""
@@ -132,7 +132,7 @@ class Ids:
             self.known.clear()
         blob, known = data.tobytes(), self.known
         raws = [blob[a:b] for a, b in zip(starts[where].tolist(), ends[where].tolist())]
-        found = [known.get(raw) for raw in raws]
+        found = list(map(known.get, raws))
         unseen = [i for i, ids in enumerate(found) if ids is None]
         for i, ids in zip(unseen, self.segments([raws[i] for i in unseen])):
             found[i] = ids
@@ -212,7 +212,8 @@ class WordIds(Ids):
         ids = np.array(found.ids, "<u4")
         at = np.fromiter((a for a, _ in found.offsets), np.int64, len(ids))
         edges = np.append(np.searchsorted(at, starts), len(ids)).tolist()
-        return [ids[a:b].tobytes() for a, b in zip(edges, edges[1:])]
+        flat = ids.tobytes()
+        return [flat[4 * a : 4 * b] for a, b in zip(edges, edges[1:])]
 
 
 _STOPS = np.zeros(256, bool)

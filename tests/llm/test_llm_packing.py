@@ -104,3 +104,18 @@ def test_odd_rows(odd_documents, no_documents):
     empty = [p for p in found if p["doc_id"] in (1, 2)]
     assert [(p["length"], zlib.crc32(p["ids"])) for p in empty] == [(1, zlib.crc32(b"\1\0\0\0"))] * 2
     assert pack(no_documents).collect() == []
+
+
+def test_cuts_ascend_once_each_and_segments_keep_their_ids():
+    """A document that begins with a space is cut there once, empty documents are not cut."""
+    from chaffsieve.llm import tokens
+
+    texts = ["a b", " c d", "", "é f一 g", " ", "</s> h", "a b"]
+    raw = [t.encode() for t in texts]
+    data = np.frombuffer(b"".join(raw), np.uint8)
+    offsets = np.concatenate(([0], np.cumsum([len(r) for r in raw])))
+    cuts = tokens._cuts(data, offsets)
+    assert (np.diff(cuts) > 0).all() and set(offsets[:-1][np.diff(offsets) > 0]) <= set(cuts.tolist())
+    encoder = tokens.byte_ids(*tokens.vocabulary_paths())
+    for text, ids in zip(texts, encoder.documents(data, offsets)):
+        assert ids.tolist() == encoder.exact.encode(text, add_special_tokens=False).ids
