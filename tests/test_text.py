@@ -130,3 +130,19 @@ def test_long_texts_stay_linear(spark):
     assert [tuple(r) for r in got[:3]] == [(1, 1, 1), (1, 1, 1), (1, 1, 1)]
     assert got[4][0] == 60_000
     assert run(spark, [texts[4]], fx.has_repeated_ngram(col())) == [1]
+
+
+def test_words_part_at_every_white_space(spark):
+    # No gap, a letter of the same first byte, and every gap within and at the end of a text.
+    gaps = ["", "é", "‐", "​", *fx.WHITESPACE]
+    texts = [f"cafe{g}table{g}\nthe{g}ae{g}" for g in gaps] + ["x" * fx._SLICE_BYTES, "", "made", None]
+    words = fx.word_count(col())
+    got = run(spark, texts, F.struct(fx.syllable_count(col(), words).alias("y"), fx.has_repeated_ngram(col()).alias("r")))
+    assert [r["y"] for r in got[:-1]] == [syllables(t) for t in texts[:-1]]
+    assert tuple(got[-1]) == (None, None)
+
+
+def test_features_of_words_leave_no_lambda_per_word(spark):
+    df = spark.createDataFrame([("a b",)], "t string")
+    found = df.select(fx.has_repeated_ngram(col()), fx.syllable_count(col(), fx.word_count(col())))
+    assert "lambda" not in found._jdf.queryExecution().optimizedPlan().toString()
