@@ -62,6 +62,25 @@ def test_shared_scans_equal_fits_one_by_one(spark, even, kind):
         assert model.cost + model.between == pytest.approx((x * x).sum(), rel=1e-9)
 
 
+def test_single_precision_takes_half_the_bytes_and_the_same_turns(spark):
+    rng = np.random.default_rng(5)
+    x = unit(rng.normal(size=(900, 6))).astype(np.float32).astype(np.float64)
+    # Points as near to two centres as doubles can tell, and copies of centres.
+    start = x[:5] / 2
+    middle = (start[0] + start[1]) / 2
+    x = np.concatenate((x, (middle + 1e-7 * rng.normal(size=(200, 6))).astype(np.float32).astype(np.float64), x[:50]))
+    held = kmeans.balls(kmeans.blocks(frame(spark, x)), x[:3], ball_rows=64)
+    assert held.rows.selectExpr("sum(octet_length(data))").first()[0] == 4 * x.size
+    [found], _ = kmeans.one_pass(held, [start])
+    gaps = (start**2).sum(axis=1) - 2 * x @ start.T
+    assert found.sizes.tolist() == np.bincount(gaps.argmin(axis=1), minlength=5).tolist()
+    for model, first in zip(kmeans.advance(held, [start, x[10:18]], 300), (start, x[10:18])):
+        centers, sizes, cost, _ = lloyd(x, first)
+        assert model.cost == pytest.approx(cost, rel=1e-5) and np.allclose(model.centers, centers, atol=1e-3)
+    doubles = kmeans.blocks(frame(spark, x + 1e-12))
+    assert doubles.selectExpr("sum(octet_length(data))").first()[0] == 8 * x.size
+
+
 def test_balls_save_distances_where_points_cluster(spark):
     x = clustered(spread=0.01)
     packed = kmeans.blocks(frame(spark, x))
