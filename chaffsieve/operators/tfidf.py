@@ -131,10 +131,13 @@ def weighted_terms(df: DataFrame, group: str, cfg: AuditConfig) -> DataFrame:
     terms = explode_terms(df, group, cfg)
     words = vocabulary(df, terms, group, cfg)
     # Spread by row first: the windows below and the regrouping into vectors
-    # then need no further shuffle when the vocabulary is broadcast.
-    spread = terms.repartition("row_id")
+    # then need no further shuffle when the vocabulary is broadcast.  Texts
+    # travel, not their terms, which take some times the bytes; the number of
+    # partitions is given, since it is the terms that they have to suit.
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = df.select(group, "row_id", "instruction_clean").repartition(parts, "row_id")
     found = keyed_lookup(
-        spread, words.withColumn("copies", F.col("df")), ["group_key", "term"], "copies", cfg
+        explode_terms(texts, group, cfg), words.withColumn("copies", F.col("df")), ["group_key", "term"], "copies", cfg
     )
     raw = F.col("tf") * F.col("idf")
     row = Window.partitionBy("row_id").orderBy("term_rank")

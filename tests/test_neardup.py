@@ -5,12 +5,15 @@ import random
 from collections import Counter, defaultdict
 from dataclasses import replace
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from chaffsieve import AuditConfig
+from chaffsieve.operators import neardup
 from chaffsieve.operators.neardup import flag_near_duplicates, near_duplicates
 from chaffsieve.operators.quality import root_of
+from chaffsieve.operators.tfidf import weighted_terms
 from chaffsieve.sources import staging
 
 CFG = AuditConfig()
@@ -190,3 +193,21 @@ def test_long_rows_travel_once(spark):
     made = {p.rsplit("/", 1)[1]: spark.read.parquet(p).count() for p in staging._written[before:]}
     words_only = ("vocabulary", "term-counts", "cuts")
     assert max(n for name, n in made.items() if not name.startswith(words_only)) <= len(rows)
+
+
+def test_texts_are_spread_before_their_terms_are_listed(spark):
+    df = spark.createDataFrame(corpus(3), "row_id bigint, cluster_id int, instruction_clean string")
+    plan = weighted_terms(df, "cluster_id", CFG)._jdf.queryExecution().optimizedPlan().toString()
+    # What is printed further down runs earlier.
+    assert 0 < plan.index("Generate inline") < plan.index("RepartitionByExpression [row_id")
+
+
+def test_products_of_chunks_share_their_room():
+    rng = np.random.default_rng(1)
+    shapes = [(7, 5), (3, 11), (12, 12), (1, 1)]
+    for m, n in shapes:
+        a, b = (rng.random((rows, 4)).astype(np.float32) for rows in (m, n))
+        assert np.allclose(neardup._products(a, b), a @ b.T)
+    held = neardup._room
+    neardup._products(np.ones((12, 2), np.float32), np.ones((12, 2), np.float32))
+    assert neardup._room is held
