@@ -116,9 +116,21 @@ def _cosines(a: Chunk, b: Chunk, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return np.round(out, _SIMILARITY_DIGITS)
 
 
+# Room for the products of two chunks, used again by the next two.
+_room = np.empty(0, np.float32)
+
+
+def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """[rows of ``a``, rows of ``b``], valid until the next call: fresh pages for each would cost half as much again."""
+    global _room
+    if len(_room) < len(a) * len(b):
+        _room = np.empty(len(a) * len(b), np.float32)
+    return np.matmul(a, b.T, out=_room[: len(a) * len(b)].reshape(len(a), len(b)))
+
+
 def _compare(a: Chunk, b: Chunk, threshold: float, any_earlier: bool) -> None:
     """Let the rows of two chunks, or the pairs of one, know of each other."""
-    bound = a.folded @ b.folded.T
+    bound = _products(a.folded, b.folded)
     if a is b:
         bound[np.tril_indices(len(a.ids))] = 0
 
@@ -133,7 +145,8 @@ def _compare(a: Chunk, b: Chunk, threshold: float, any_earlier: bool) -> None:
                 own.keep(rows[use], similarity[use], far.ids[others[use]])
 
     least = np.float32(max(threshold - _SLACK, _SLACK))
-    i, j = np.nonzero(bound >= least)
+    # In the flat array: nonzero() of two dimensions takes about as long as the products.
+    i, j = np.divmod(np.flatnonzero(bound >= least), len(b.ids))
     if len(i) > 4 * (len(a.ids) + len(b.ids)):
         # The likeliest partner of each row first; what falls behind it is not looked at.
         top_a, top_b = bound.argmax(axis=1), bound.argmax(axis=0)
