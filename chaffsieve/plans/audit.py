@@ -19,7 +19,7 @@ from chaffsieve.operators.sample import review_sample
 from chaffsieve.plans.views import VIEWS
 from chaffsieve.sources import sinks
 from chaffsieve.sources.corpus import limit_rows
-from chaffsieve.sources.staging import stage
+from chaffsieve.sources.staging import passing, settle
 
 
 def enrich(raw: DataFrame, cfg: AuditConfig) -> DataFrame:
@@ -47,14 +47,19 @@ def with_cluster_columns(df: DataFrame) -> DataFrame:
 
 def build_fact(raw: DataFrame, cfg: AuditConfig, names: dict[int, str] | None = None) -> DataFrame:
     """The staged fact table of a corpus that already carries cluster ids, or none."""
-    enriched = stage(enrich(raw, cfg), "enriched")
-    if "cluster_id" in enriched.columns:
-        enriched = (
-            _cluster.default_labels(enriched)
-            if names is None
-            else _cluster.relabel_clusters(enriched, names)
-        )
-    return stage(sinks.select_fact(with_cluster_columns(flag(enriched, cfg))), "fact")
+    spark = raw.sparkSession
+
+    def build() -> DataFrame:
+        enriched = settle(spark, "enriched", lambda: enrich(raw, cfg))
+        if "cluster_id" in enriched.columns:
+            enriched = (
+                _cluster.default_labels(enriched)
+                if names is None
+                else _cluster.relabel_clusters(enriched, names)
+            )
+        return sinks.select_fact(with_cluster_columns(flag(enriched, cfg)))
+
+    return settle(spark, "fact", build)
 
 
 def missing_module(error: Exception) -> str | None:
@@ -88,7 +93,8 @@ def _stage(
     if resume and sinks.made_of(spark, out, name) == key:
         reused.append(name)
         return sinks.read_enriched(spark, out, name)
-    return sinks.write_enriched(build(), out, name, key)
+    with passing(spark):
+        return sinks.write_enriched(build(), out, name, key)
 
 
 def _vectors_key(vectors: DataFrame | Callable | None) -> str | None:

@@ -32,7 +32,7 @@ from chaffsieve.schema import QUALITY_FLAGS
 from chaffsieve.sources import corpus, sinks
 from chaffsieve.sources.corpus import CLUSTER_NAMES
 from chaffsieve.sources.sinks import select_fact
-from chaffsieve.sources.staging import scratch_root, shared, stage
+from chaffsieve.sources.staging import scratch_root, settle, shared, stage
 
 CFG = AuditConfig()
 # So few terms per group that the limit binds on any of the test tables.
@@ -48,7 +48,7 @@ def enriched(spark: SparkSession, base: str) -> DataFrame:
     return shared(
         spark,
         (base, "enriched"),
-        lambda: stage(enrich(corpus.corpus_mixed(spark, base), CFG), "enriched"),
+        lambda: settle(spark, "enriched", lambda: enrich(corpus.corpus_mixed(spark, base), CFG)),
     )
 
 
@@ -57,14 +57,16 @@ def enriched_whole(spark: SparkSession, base: str) -> DataFrame:
     return shared(
         spark,
         (base, "enriched-whole"),
-        lambda: stage(enrich(corpus.corpus_from_documents(spark, base, whole=True), CFG), "whole-texts"),
+        lambda: settle(
+            spark, "whole-texts", lambda: enrich(corpus.corpus_from_documents(spark, base, whole=True), CFG)
+        ),
     )
 
 
 def fact(spark: SparkSession, base: str) -> DataFrame:
     def build() -> DataFrame:
         named = km.relabel_clusters(enriched(spark, base), CLUSTER_NAMES)
-        return stage(select_fact(flag(named, CFG)), "fact")
+        return settle(spark, "fact", lambda: select_fact(flag(named, CFG)))
 
     return shared(spark, (base, "fact"), build)
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from chaffsieve.config import AuditConfig
 from chaffsieve.functions.numeric import to_numeric
 from chaffsieve.schema import FACT, FACT_COLUMNS
+from chaffsieve.sources.staging import no_leftovers
 
 
 def write_enriched(df: DataFrame, root: str, stage_name: str, key: str | None = None) -> DataFrame:
@@ -23,7 +24,8 @@ def write_enriched(df: DataFrame, root: str, stage_name: str, key: str | None =
     spark = df.sparkSession
     path = f"{root}/stage={stage_name}"
     _delete(spark, f"{root}/made={stage_name}")
-    df.write.mode("overwrite").parquet(path)
+    with no_leftovers(spark):
+        df.write.mode("overwrite").parquet(path)
     if key is not None:
         spark.createDataFrame([(key,)], "key string").coalesce(1).write.mode("overwrite").json(f"{root}/made={stage_name}")
     return spark.read.schema(df.schema).parquet(path)
